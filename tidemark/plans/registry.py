@@ -82,12 +82,11 @@ class Inputs(DriverTables):
     def live(self) -> DataFrame:
         return live_events.first_deliveries(live_events.usable(live_events.parse_messages(self.live_messages())))
 
-    def new_alerts(self) -> tuple[DataFrame, DataFrame]:
-        known = self.alerts()
-        return (
-            alerts.health_risk_alerts(self.health(), known),
-            alerts.payment_failure_alerts(self.invoices(), known),
-        )
+    def health_alerts(self) -> DataFrame:
+        return alerts.health_risk_alerts(self.health(), self.alerts())
+
+    def payment_alerts(self) -> DataFrame:
+        return alerts.payment_failure_alerts(self.invoices(), self.alerts())
 
 
 # ---- queries that need more than one expression ------------------------------
@@ -310,13 +309,13 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_pass_rate": lambda t: quality.dq_pass_rate(_suite(t)),
     "schema_contracts": _contracts,
     # alerts and actions
-    "health_risk_alerts": lambda t: t.new_alerts()[0],
-    "payment_failure_alerts": lambda t: t.new_alerts()[1],
+    "health_risk_alerts": lambda t: t.health_alerts(),
+    "payment_failure_alerts": lambda t: t.payment_alerts(),
     "suppress_open_alerts": lambda t: alerts.suppress_open_alerts(
         t.accounts().select(F.col("account_id").alias("customer_id"), F.lit("Payment Failure").alias("alert_type")),
         t.alerts(),
     ),
-    "new_alert_counts": lambda t: alerts.new_alert_counts(*t.new_alerts()),
+    "new_alert_counts": lambda t: alerts.new_alert_counts(t.health_alerts(), t.payment_alerts()),
     "open_alert_summary": lambda t: alerts.open_alert_summary(t.alerts()),
     "alert_feed": lambda t: alerts.alert_feed(t.alerts()),
     "alert_feed_counts": lambda t: alerts.alert_feed_counts(alerts.alert_feed(t.alerts())),

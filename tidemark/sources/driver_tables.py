@@ -15,6 +15,19 @@ from tidemark.functions.columns import json_text
 from tidemark.functions.fixed_values import PLAN_PRICES
 from tidemark.operators.events import flag_valid_events
 
+# Columns as the files hold them; stating them saves a schema job per table.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 PRODUCT_EVENT_TYPES = ("view", "click", "purchase")
 ALERT_EPOCH = "2026-01-01 00:00:00"
 LIVE_TRIGGER = "purchase"  # stands for the feature that signals expansion
@@ -48,7 +61,10 @@ class DriverTables:
 
     @once
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        reader = self.spark.read
+        if name in SCHEMAS:
+            reader = reader.schema(SCHEMAS[name])
+        return reader.parquet(f"{self.folder}/{name}.parquet")
 
     @once
     def dim_plan(self) -> DataFrame:
@@ -209,8 +225,7 @@ class DriverTables:
 
     def live_stream(self) -> DataFrame:
         """The same messages as a file stream."""
-        schema = self.raw("events").schema
-        return self.live_messages(self.spark.readStream.schema(schema).parquet(f"{self.folder}/events*.parquet"))
+        return self.live_messages(self.spark.readStream.schema(SCHEMAS["events"]).parquet(f"{self.folder}/events*.parquet"))
 
     @once
     def alerts(self) -> DataFrame:
