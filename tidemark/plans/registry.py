@@ -94,7 +94,7 @@ class Inputs(DriverTables):
 
 def _bronze_accounts(t: Inputs) -> DataFrame:
     csv = fresh_folder(t.spark, "accounts-csv")
-    t.accounts().write.option("header", True).csv(csv)
+    t.accounts().write.options(header=True, escape='"').csv(csv)
     return bronze_ingest(t.spark, csv, fresh_folder(t.spark, "bronze-accounts"))
 
 

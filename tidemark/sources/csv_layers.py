@@ -55,13 +55,16 @@ TYPED_TABLES = {
 }
 
 
-def bronze_ingest(spark: SparkSession, csv_path: str, table_path: str, columns=None) -> DataFrame:
+def bronze_ingest(
+    spark: SparkSession, csv_path: str, table_path: str, columns=None, multiline: bool = False
+) -> DataFrame:
     """Replace the raw table at ``table_path`` with the CSV's rows, all text.
 
     Blank cells become NULL, nothing else does.  ``columns`` names the header;
-    without it only the header line is read to learn it.
+    without it only the header line is read to learn it.  ``multiline`` allows
+    line breaks inside quotes, at the price of reading each file in one task.
     """
-    reader = spark.read.option("header", True).option("nullValue", "").option("multiLine", False)
+    reader = spark.read.options(header=True, nullValue="", escape='"', multiLine=multiline)
     if columns is not None:
         reader = reader.schema(", ".join(f"`{name}` string" for name in columns))
     else:
