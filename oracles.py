@@ -434,8 +434,8 @@ def _forecast_parts(paid: str) -> dict[str, str]:
             FROM series JOIN early_line USING (segment) WHERE time_index >= months - 2""",
         "forecasts": f"""
             SELECT segment, CAST(last_month + to_months(CAST(ahead AS INTEGER)) AS DATE) AS forecast_month,
-                   intercept + slope * (last_index + ahead) AS forecast_revenue, '{fixed.FORECAST_MODEL}' AS model_name,
-                   validation_mae, TIMESTAMP '2026-12-31 00:00:00' AS generated_at
+                   round(intercept + slope * (last_index + ahead), 4) AS forecast_revenue, '{fixed.FORECAST_MODEL}' AS model_name,
+                   round(validation_mae, 4) AS validation_mae, TIMESTAMP '2026-12-31 00:00:00' AS generated_at
             FROM (SELECT segment, regr_slope(monthly_revenue, time_index) AS slope, regr_intercept(monthly_revenue, time_index) AS intercept,
                          max(time_index) AS last_index, max(revenue_month) AS last_month FROM series GROUP BY segment)
                  JOIN (SELECT segment, avg(abs(actual - predicted)) AS validation_mae FROM held_out GROUP BY segment) USING (segment),
@@ -670,7 +670,9 @@ ORACLES = {
     # forecast
     "monthly_paid_revenue": _sql("SELECT * EXCLUDE (months) FROM series", **_ALL),
     "revenue_holdout": _sql(
-        "SELECT *, avg(abs(actual - predicted)) OVER (PARTITION BY segment) AS mae FROM held_out", **_ALL
+        """SELECT * REPLACE (round(predicted, 4) AS predicted), round(avg(abs(actual - predicted)) OVER (PARTITION BY segment), 4) AS mae
+           FROM held_out""",
+        **_ALL,
     ),
     "revenue_forecast": _sql("SELECT * FROM forecasts", **_ALL),
     "revenue_forecast_by_region": _sql("SELECT * FROM forecasts", **_REGIONS),
@@ -678,7 +680,7 @@ ORACLES = {
         """SELECT * FROM forecasts
            UNION ALL
            SELECT * FROM (SELECT * REPLACE (CAST(forecast_month - INTERVAL 1 MONTH AS DATE) AS forecast_month,
-                                            forecast_revenue - 100 AS forecast_revenue) FROM forecasts)
+                                            round(forecast_revenue - 100, 4) AS forecast_revenue) FROM forecasts)
            WHERE forecast_month NOT IN (SELECT forecast_month FROM forecasts)""",
         **_ALL,
     ),

@@ -76,8 +76,7 @@ class Inputs(DriverTables):
         return forecast.monthly_paid_revenue(self.billing())
 
     def regional_monthly(self) -> DataFrame:
-        regions = star.dim_customer(self.accounts()).select("customer_id", "region")
-        return forecast.monthly_paid_revenue(self.billing().join(regions, "customer_id"), segment="region")
+        return forecast.segmented_paid_revenue(self.billing(), star.dim_customer(self.accounts()), "region")
 
     def live(self) -> DataFrame:
         return live_events.first_deliveries(live_events.usable(live_events.parse_messages(self.live_messages())))
@@ -242,8 +241,19 @@ def _score(t: Inputs) -> DataFrame:
     return churn.risk_tier(churn_model.churn_score(model, rows))
 
 
-def _forecast(t: Inputs) -> DataFrame:
-    return forecast.revenue_forecast(t.monthly(), _at())
+def _cents(df: DataFrame, *names: str) -> DataFrame:
+    """Least-squares sums depend on row order in their last digits; shown in
+    hundredths of a cent they do not."""
+    return df.withColumns({name: F.round(name, 4) for name in names})
+
+
+def _forecast(t: Inputs, monthly: DataFrame | None = None) -> DataFrame:
+    ahead = forecast.revenue_forecast(t.monthly() if monthly is None else monthly, _at())
+    return _cents(ahead, "forecast_revenue", "validation_mae")
+
+
+def _holdout(t: Inputs) -> DataFrame:
+    return _cents(forecast.revenue_holdout(t.monthly()), "predicted", "mae")
 
 
 def _forecast_upsert(t: Inputs) -> DataFrame:
@@ -252,7 +262,7 @@ def _forecast_upsert(t: Inputs) -> DataFrame:
     stale = new.withColumn("forecast_month", F.add_months("forecast_month", -1)).withColumn(
         "forecast_revenue", F.col("forecast_revenue") - 100
     )
-    return forecast.upsert(stale, new, ["segment", "forecast_month"])
+    return _cents(forecast.upsert(stale, new, ["segment", "forecast_month"]), "forecast_revenue")
 
 
 QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -362,9 +372,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "risk_summary": lambda t: churn.risk_summary(t.ratio_scores()),
     # forecast
     "monthly_paid_revenue": lambda t: t.monthly(),
-    "revenue_holdout": lambda t: forecast.revenue_holdout(t.monthly()),
+    "revenue_holdout": _holdout,
     "revenue_forecast": _forecast,
-    "revenue_forecast_by_region": lambda t: forecast.revenue_forecast(t.regional_monthly(), _at()),
+    "revenue_forecast_by_region": lambda t: _forecast(t, t.regional_monthly()),
     "revenue_forecast_upsert": _forecast_upsert,
     # live events
     "live_events_ingest": lambda t: live_events.stored_events(t.spark, _live_stream(t)),
