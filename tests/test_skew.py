@@ -4,6 +4,7 @@ import pytest
 from conftest import T0, hours, rows
 from pyspark.sql import functions as F
 
+from tidemark.functions.joins import hot_keys, salt_rows, salted_join
 from tidemark.operators import marts, quality
 from tidemark.operators.events import flag_valid_events
 from tidemark.sources.driver_tables import DriverTables
@@ -48,27 +49,73 @@ def people(spark):
     )
 
 
-def final_plan(df):
-    df.write.format("noop").mode("overwrite").save()
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def test_flagging_splits_the_hot_user(spark, tiny_thresholds):
+def test_flagging_keeps_every_event(spark, tiny_thresholds):
     flagged = flag_valid_events(hot_events(spark), people(spark)).groupBy("user_id").agg(
         F.count_if("is_valid_event").alias("valid"), F.count(F.lit(1)).alias("n")
     )
     result = {row["user_id"]: (row["valid"], row["n"]) for row in flagged.collect()}
     assert result[0] == (ROWS // 6, ROWS // 3)
     assert sum(n for _, n in result.values()) == ROWS
-    # Split although the grouping reuses the join's key.
-    assert "SortMergeJoin(skew=true)" in flagged._jdf.queryExecution().executedPlan().toString()
 
 
-def test_quality_join_splits_the_hot_user(spark, tiny_thresholds):
+def test_quality_join_counts_every_event(spark, tiny_thresholds):
     early = quality.dq_events_before_creation(hot_events(spark), people(spark))
     assert rows(early, "actual_value") == [(ROWS // 2,)]
-    assert "SortMergeJoin(skew=true)" in early._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_user_and_null_user_spread(spark):
+    """No (key, salt) group keeps more than about one piece of the rows, not
+    even copies of a single row."""
+    events = hot_events(spark).withColumn("user_id", F.when(F.col("user_id") % 5 != 1, F.col("user_id")))
+    one_row = (F.col("event_id") == 0) & (F.col("user_id") == 0)
+    events = events.withColumn("event_timestamp", F.when(one_row, F.lit(T0)).otherwise(F.col("event_timestamp")))
+    events = events.withColumn("feature", F.when(one_row, "f0").otherwise(F.col("feature")))
+    assert events.groupBy(*events.columns).count().agg(F.max("count")).first()[0] > ROWS // 10
+    hot = hot_keys(events, "user_id")
+    listed = {row["user_id"]: row["_salts"] for row in hot.collect()}
+    assert set(listed) == {0}  # a third of all rows; nobody else is close to 1/32
+    salted = salt_rows(events, hot, "user_id")
+    assert salted.count() == ROWS
+    largest = salted.groupBy("user_id", "_salt").count().agg(F.max("count")).first()[0]
+    assert largest < ROWS // 10
+    same = salted.exceptAll(salt_rows(events, hot_keys(events, "user_id"), "user_id"))
+    assert same.count() == 0  # a second run assigns the same salts
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_equals_plain_join(spark, tiny_thresholds, how):
+    large = hot_events(spark).filter("event_id < 20000").withColumn(
+        "user_id", F.when(F.col("user_id") % 7 != 3, F.col("user_id"))
+    )
+    keyed = people(spark).filter("user_id < 500").select("user_id", "account_id")
+    keyed = keyed.unionByName(keyed.filter("user_id < 3"))  # keys listed twice
+    plain = large.join(keyed, "user_id", how)
+    salted = salted_join(large, keyed, "user_id", how)
+    assert salted.columns == plain.columns
+    assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
+
+
+def test_outer_joins_are_refused(spark):
+    with pytest.raises(ValueError, match="full"):
+        salted_join(hot_events(spark), people(spark), "user_id", "full")
+
+
+def test_fact_lookup_splits_through_adaptive_execution(spark, tiny_thresholds, tmp_path):
+    """Both sides come straight from a shuffle here, so Spark splits by itself."""
+    order = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    spark.range(0, ROWS, 1, 8).select(
+        order.alias("l_orderkey"), F.lit(1).cast("bigint").alias("l_partkey"), F.lit(1).cast("bigint").alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"), F.rand(1).alias("l_quantity"), F.rand(2).alias("l_extendedprice"),
+        F.rand(3).alias("l_discount"), F.rand(4).alias("l_tax"), F.lit("R").alias("l_returnflag"),
+        F.lit("F").alias("l_linestatus"), F.lit(T0).cast("timestamp_ntz").alias("l_shipdate"),
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(0, ROWS, 1, 8).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 100).alias("o_custkey"), F.lit("F").alias("o_orderstatus"),
+        F.lit(1.0).alias("o_totalprice"), F.lit(T0).cast("timestamp_ntz").alias("o_orderdate"), F.lit("5-LOW").alias("o_orderpriority"),
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    billed = marts.customer_billing(DriverTables(spark, str(tmp_path)).invoices().withColumnRenamed("account_id", "customer_id"))
+    assert sum(row["total_invoices"] for row in billed.collect()) == ROWS
+    assert "SortMergeJoin(skew=true)" in billed._jdf.queryExecution().executedPlan().toString()
 
 
 def test_usage_shuffles_counts_not_events(spark, tiny_thresholds):
@@ -83,7 +130,7 @@ def test_usage_shuffles_counts_not_events(spark, tiny_thresholds):
 
 
 def test_ticket_lookahead_of_a_hot_user(spark, tmp_path):
-    """One user with half a million events; compare with a plain lookahead."""
+    """One user owns a third of the events; compare with a plain lookahead."""
     folder = tmp_path / "sf"
     n = 60_000
     user = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50 + 1)

@@ -5,31 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.joins import salted_join
+
 
 def flag_valid_events(events: DataFrame, users: DataFrame) -> DataFrame:
     """Add ``is_valid_event``: not before its user was created.
 
     Events of unknown users, and of users without a creation time, are invalid.
     Every event is kept exactly once, so users are first reduced to one row
-    each.  The join carries no hint: Spark broadcasts the users when they
-    measure small, and splits a partition that one busy user inflates.
+    each.  Busy users' events are spread over the shuffle.
     """
     created = users.groupBy("user_id").agg(F.min("created_at").alias("user_created_at"))
     on_time = F.coalesce(F.col("event_timestamp") >= F.col("user_created_at"), F.lit(False))
     return (
-        events.join(created, "user_id", "left")
+        salted_join(events, created, "user_id")
         .withColumn("is_valid_event", on_time)
         .select(*events.columns, "is_valid_event")
     )
 
 
+def account_of_users(users: DataFrame) -> DataFrame:
+    """(user_id, customer_id), one row per user."""
+    return users.groupBy("user_id").agg(F.min("account_id").alias("customer_id"))
+
+
 def enrich_events_with_account(events: DataFrame, users: DataFrame) -> DataFrame:
     """Attach ``customer_id`` by user; works on a static or a streaming frame.
 
-    Unknown users keep their events with a NULL customer.
+    Unknown users keep their events with a NULL customer.  A micro-batch is
+    bounded by its trigger and joins plainly; a table's busy users are spread.
     """
-    owners = users.groupBy("user_id").agg(F.min("account_id").alias("customer_id"))
-    owners = owners.withColumn("user_id", F.col("user_id").cast(events.schema["user_id"].dataType))
-    return events.drop("customer_id").join(owners, "user_id", "left").select(
-        *[name for name in events.columns if name != "customer_id"], "customer_id"
-    )
+    events = events.drop("customer_id")
+    owners = account_of_users(users).withColumn("user_id", F.col("user_id").cast(events.schema["user_id"].dataType))
+    joined = events.join(owners, "user_id", "left") if events.isStreaming else salted_join(events, owners, "user_id")
+    return joined.select(*events.columns, "customer_id")

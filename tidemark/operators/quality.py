@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed_values import CORE_MESSAGE, MODEL_CONTRACTS, QUALITY_CHECKS
+from tidemark.functions.joins import salted_join
 
 RESULT_SCHEMA = (
     "dq_id int, check_name string, table_name string, check_type string, status string, "
@@ -76,7 +77,7 @@ def _orphans(child: DataFrame, parent: DataFrame, on: str) -> DataFrame:
 def _event_profile(events: DataFrame, users: DataFrame) -> DataFrame:
     """orphans and early events, from one join of events to users."""
     known = users.select("user_id", "created_at", F.lit(True).alias("known"))
-    return events.select("user_id", "event_timestamp").join(known, "user_id", "left").agg(
+    return salted_join(events.select("user_id", "event_timestamp"), known, "user_id").agg(
         F.count_if(F.col("known").isNull()).alias("orphans"),
         F.count_if(F.col("event_timestamp") < F.col("created_at")).alias("early"),
     )
@@ -95,13 +96,18 @@ def _subscription_profile(subscriptions: DataFrame) -> DataFrame:
 
 
 def _invoice_profile(invoices: DataFrame, plans: DataFrame) -> DataFrame:
-    """volume, and invoices whose amount is no plan's price."""
+    """volume, and invoices whose amount is no plan's price.
+
+    Nearly all invoices share a few amounts: they are counted per amount first,
+    and only the amounts meet the prices.
+    """
     prices = plans.select(
         F.col("monthly_price").cast(invoices.schema["amount"].dataType).alias("amount"), F.lit(True).alias("listed")
     ).distinct()
-    return invoices.select("amount").join(prices, "amount", "left").agg(
-        F.count(F.lit(1)).alias("volume"),
-        F.count_if(F.col("listed").isNull()).alias("unpriced"),
+    per_amount = invoices.groupBy("amount").agg(F.count(F.lit(1)).alias("rows"))
+    return per_amount.join(prices, "amount", "left").agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("volume"),
+        F.coalesce(F.sum(F.when(F.col("listed").isNull(), F.col("rows"))), F.lit(0)).alias("unpriced"),
     )
 
 
@@ -122,9 +128,8 @@ def dq_referential_check(child: DataFrame, parent: DataFrame, on: str, check_nam
 
 
 def dq_events_before_creation(events: DataFrame, users: DataFrame) -> DataFrame:
-    early = events.join(users.select("user_id", "created_at"), "user_id").agg(
-        F.count_if(F.col("event_timestamp") < F.col("created_at")).alias("early")
-    )
+    dated = salted_join(events.select("user_id", "event_timestamp"), users.select("user_id", "created_at"), "user_id", "inner")
+    early = dated.agg(F.count_if(F.col("event_timestamp") < F.col("created_at")).alias("early"))
     return _results(early, _result("Product events before user creation", F.col("early")))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import hundredth_hours
+from tidemark.operators.events import enrich_events_with_account
 
 
 def dim_customer(accounts: DataFrame) -> DataFrame:
@@ -44,8 +45,7 @@ def dim_date(*facts: DataFrame) -> DataFrame:
 
 def fact_usage(events: DataFrame, users: DataFrame) -> DataFrame:
     """Events with the owning customer (NULL for unknown users)."""
-    owners = users.groupBy("user_id").agg(F.min("account_id").alias("customer_id"))
-    return events.join(owners, "user_id", "left").select(
+    return enrich_events_with_account(events, users).select(
         "event_id",
         "user_id",
         "customer_id",
