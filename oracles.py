@@ -543,8 +543,9 @@ ORACLES = {
            WHERE (account_id, 'Payment Failure') NOT IN (SELECT (customer_id, alert_type) FROM open_keys)"""
     ),
     "new_alert_counts": _sql(
-        f"""SELECT coalesce(alert_type, 'Total') AS alert_type, count(*) AS new_alerts
-            FROM (SELECT alert_type FROM ({_HEALTH_ALERTS}) UNION ALL SELECT alert_type FROM ({_PAYMENT_ALERTS}))
+        f"""SELECT coalesce(alert_type, 'Total') AS alert_type, CAST(sum(n) AS BIGINT) AS new_alerts
+            FROM (SELECT 'Customer Health Risk' AS alert_type, count(*) AS n FROM ({_HEALTH_ALERTS})
+                  UNION ALL SELECT 'Payment Failure', count(*) FROM ({_PAYMENT_ALERTS}))
             GROUP BY ROLLUP (alert_type)"""
     ),
     "open_alert_summary": _sql(

@@ -46,8 +46,8 @@ def test_payment_alerts(spark):
     new = by(rules.payment_failure_alerts(invoices, known(spark)), "customer_id")
     assert {k: v["severity"] for k, v in new.items()} == {1: "High", 2: "Medium"}
     assert json.loads(new[1]["metadata"]) == {"failed_invoice_count": 2, "invoice_count": 3}
-    counts = rules.new_alert_counts(rules.payment_failure_alerts(invoices, known(spark)), known(spark).limit(0))
-    assert rows(counts) == [("Payment Failure", 2), ("Total", 2)]
+    counts = rules.new_alert_counts({"Payment Failure": rules.payment_failure_alerts(invoices, known(spark)), KIND: known(spark)})
+    assert rows(counts) == [(KIND, 0), ("Payment Failure", 2), ("Total", 2)]
 
 
 def test_null_customer_is_never_suppressed(spark):
@@ -113,3 +113,6 @@ def test_actions(spark):
         (2, "Billing Follow-up", "CSM", "r", "Created"),
         (3, "Customer Success Outreach", "Ann", "r", "Created"),
     ]
+    stored = spark.createDataFrame([(41,)], "action_id bigint")
+    numbered = rules.number_rows(rules.customer_actions(alerts).coalesce(1), stored, "action_id", F.lit(T0))
+    assert rows(numbered, "action_id", "created_at") == [(42, T0), (43, T0), (44, T0)]

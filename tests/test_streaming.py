@@ -9,6 +9,7 @@ from conftest import ALERTS, T0, USERS, alert_row, rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.events import enrich_events_with_account
+from tidemark.plans import daily
 from tidemark.streaming import live_events
 
 
@@ -71,7 +72,7 @@ def test_each_event_is_stored_once(topic, tmp_path, dedupe):
 def test_one_alert_for_two_triggers_in_a_batch(topic, tmp_path, spark):
     topic.send(event("late", minute=9), event("early", minute=1), event("n1", None), event("n2", ..., minute=2))
     known = spark.createDataFrame([alert_row(1, 5, "Expansion Opportunity"), alert_row(2, 1, "Payment Failure")], ALERTS)
-    ids, alerted = run(topic, tmp_path / "out", alerts=known)
+    ids, alerted = run(topic, tmp_path / "out", alerts=lambda session: known)
     assert len(ids) == 4
     assert alerted == [(None,), (None,), ("1",)]
     texts = [json.loads(m) for (m,) in rows(live_events.stored_alerts(spark, str(tmp_path / "out")), "metadata")]
@@ -84,7 +85,40 @@ def test_known_open_alert_suppresses(topic, tmp_path, spark):
     known = spark.createDataFrame(
         [alert_row(1, 5, "Expansion Opportunity"), alert_row(2, 6, "Expansion Opportunity", "Acknowledged")], ALERTS
     )
-    assert run(topic, tmp_path / "out", alerts=known)[1] == [("6",)]
+    assert run(topic, tmp_path / "out", alerts=lambda session: known)[1] == [("6",)]
+
+
+def test_acknowledged_alert_fires_again(topic, tmp_path, spark):
+    out = tmp_path / "out"
+    current = {"table": daily.alert_table(spark).limit(0)}
+
+    def table(session):
+        return current["table"]
+
+    topic.send(event("a"))
+    assert run(topic, out, alerts=table)[1] == [("1",)]
+    stored = daily.take_in_live_alerts(spark, str(out), str(tmp_path / "work"), T0)
+    assert rows(stored.filter("alert_type = 'Expansion Opportunity'"), "customer_id", "status") == [(1, "Open")]
+    again = daily.take_in_live_alerts(spark, str(out), str(tmp_path / "work"), T0)
+    assert again.count() == 1  # taken in once
+    current["table"] = again
+    topic.send(event("b"))
+    assert run(topic, out, alerts=table)[1] == [("1",)]  # still open
+    current["table"] = again.withColumn("status", F.lit("Acknowledged"))
+    topic.send(event("c"))
+    assert run(topic, out, alerts=table)[1] == [("1",), ("1",)]
+    spark.sql("DROP TABLE alerts")
+
+
+def test_replay_with_its_alert_already_taken_in(topic, tmp_path, spark):
+    out = tmp_path / "out"
+    topic.send(event("a"))
+    before = run(topic, out)
+    raised = live_events.stored_alerts(spark, str(out)).withColumn("alert_id", F.lit(1))
+    table = spark.createDataFrame(raised.collect(), raised.schema)
+    for name in ("0", ".0.crc"):
+        (out / "_checkpoints" / "live_events" / "commits" / name).unlink()
+    assert run(topic, out, alerts=lambda session: table) == before == ([("a",)], [("1",)])
 
 
 @pytest.mark.parametrize("dedupe", ["sink", "state"])

@@ -103,31 +103,37 @@ def expansion_alerts(new_events: DataFrame, alerts: DataFrame, trigger: str = EX
     return suppress_open_alerts(rows(first), alerts).unionByName(rows(anonymous))
 
 
-def number_alerts(new: DataFrame, existing: DataFrame, created_at: Column) -> DataFrame:
-    """Give alerts about to be appended unique rising ids and a creation time.
+def number_rows(new: DataFrame, existing: DataFrame, id_column: str, created_at: Column) -> DataFrame:
+    """Give rows about to be appended unique rising ids and a creation time.
 
     Ids may leave gaps, like a database sequence; write the result once.
     """
-    last = existing.agg(F.coalesce(F.max("alert_id"), F.lit(0)).cast("bigint")).scalar()
+    last = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint")).scalar()
     return new.select(
-        (last + 1 + F.monotonically_increasing_id()).alias("alert_id"),
+        (last + 1 + F.monotonically_increasing_id()).alias(id_column),
         *new.columns,
         created_at.alias("created_at"),
-        F.lit(None).cast("timestamp_ntz").alias("acknowledged_at"),
     )
 
 
-def new_alert_counts(*inserted: DataFrame) -> DataFrame:
-    """New alerts per rule and in total."""
-    counted = [df.groupBy("alert_type").agg(F.count(F.lit(1)).alias("new_alerts")) for df in inserted]
+def number_alerts(new: DataFrame, existing: DataFrame, created_at: Column) -> DataFrame:
+    """New alerts as they are stored: numbered, dated, not acknowledged."""
+    return number_rows(new, existing, "alert_id", created_at).withColumn(
+        "acknowledged_at", F.lit(None).cast("timestamp_ntz")
+    )
+
+
+def new_alert_counts(inserted: dict[str, DataFrame]) -> DataFrame:
+    """New alerts per rule, zeros included, and in total."""
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("new_alerts")).select(F.lit(rule).alias("alert_type"), "new_alerts")
+        for rule, df in inserted.items()
+    ]
     return (
         reduce(DataFrame.unionByName, counted)
         .rollup("alert_type")
         .agg(F.sum("new_alerts").alias("new_alerts"))
-        .select(
-            F.coalesce("alert_type", F.lit("Total")).alias("alert_type"),
-            F.coalesce("new_alerts", F.lit(0)).alias("new_alerts"),
-        )
+        .select(F.coalesce("alert_type", F.lit("Total")).alias("alert_type"), "new_alerts")
     )
 
 

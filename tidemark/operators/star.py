@@ -67,8 +67,12 @@ def fact_billing(invoices: DataFrame) -> DataFrame:
 
 
 def fact_subscription(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
-    """Subscriptions with their plan's id (NULL for unknown plan names)."""
-    ids = plans.groupBy("plan_name").agg(F.min("plan_id").alias("plan_id"))
+    """Subscriptions with their plan's id (NULL for unknown plan names).
+
+    Plan names are unique in the price list.  It is joined as it stands: small
+    it is broadcast, and large the few hot names leave Spark free to split.
+    """
+    ids = plans.select("plan_id", "plan_name")
     return subscriptions.join(ids, F.col("plan") == F.col("plan_name"), "left").select(
         "subscription_id",
         F.col("account_id").alias("customer_id"),

@@ -17,6 +17,7 @@ from tidemark.plans.marts import all_marts, staged, star_schema
 from tidemark.plans.tables import append, publish
 from tidemark.session import prepare
 from tidemark.sources.csv_layers import TYPED_TABLES, bronze_ingest, silver_typed
+from tidemark.streaming.live_events import not_yet_stored, stored_alerts
 
 EMPTY_ALERTS = (
     "alert_id bigint, customer_id bigint, alert_type string, severity string, owner string, status string, "
@@ -58,13 +59,25 @@ def write_star(tables: dict[str, DataFrame], work: str) -> dict[str, DataFrame]:
     return stored
 
 
+def alert_table(spark: SparkSession) -> DataFrame:
+    """The ``alerts`` table, empty before the first run."""
+    if spark.catalog.tableExists("alerts"):
+        return spark.table("alerts")
+    return spark.createDataFrame([], EMPTY_ALERTS)
+
+
+def take_in_live_alerts(spark: SparkSession, live_folder: str, folder: str, at: datetime) -> DataFrame:
+    """Append the streaming job's new alerts to the ``alerts`` table."""
+    known = alert_table(spark)
+    new = not_yet_stored(stored_alerts(spark, live_folder), known)
+    new = new.withColumn("customer_id", F.col("customer_id").try_cast("bigint"))
+    return append(alert_rules.number_alerts(new, known, F.lit(at).cast("timestamp_ntz")), "alerts", folder)
+
+
 def raise_alerts(tables, health: DataFrame, folder: str, at: datetime) -> DataFrame:
     """Append the new health and payment alerts to the ``alerts`` table."""
     spark = health.sparkSession
-    if spark.catalog.tableExists("alerts"):
-        known = spark.table("alerts")
-    else:
-        known = spark.createDataFrame([], EMPTY_ALERTS)
+    known = alert_table(spark)
     new = alert_rules.health_risk_alerts(health, known).unionByName(
         alert_rules.payment_failure_alerts(tables["invoices"], known)
     )

@@ -64,8 +64,8 @@ class Inputs(DriverTables):
     def split(self) -> DataFrame:
         return churn_model.stratified_split(self.model_rows())
 
-    def train(self) -> DataFrame:
-        return self.split().filter("is_train")
+    def stored_split(self) -> DataFrame:
+        return cut_lineage(self.split())
 
     def ratio_scores(self) -> DataFrame:
         """A repeatable score: trouble / (trouble + 4), no fitting involved."""
@@ -118,7 +118,7 @@ def _live_stream(t: Inputs) -> str:
     """Run the streaming job over the event files; returns its output folder."""
     folder = fresh_folder(t.spark, "live")
     live_events.start_live_events(
-        t.live_stream(), folder, trigger_feature=LIVE_TRIGGER, alerts=t.alerts(), availableNow=True
+        t.live_stream(), folder, trigger_feature=LIVE_TRIGGER, alerts=lambda session: t.alerts(), availableNow=True
     ).awaitTermination()
     return folder
 
@@ -195,7 +195,7 @@ def _lookup(t: Inputs) -> DataFrame:
 
 
 def _impute(t: Inputs) -> DataFrame:
-    rows = t.split()
+    rows = t.stored_split()
     medians, modes = churn_model.fit_impute(rows.filter("is_train"))
     return churn_model.impute(rows, medians, modes).select(
         "account_id", *NUMERIC_FEATURES, *CATEGORICAL_FEATURES, "is_train"
@@ -203,7 +203,7 @@ def _impute(t: Inputs) -> DataFrame:
 
 
 def _standardize(t: Inputs) -> DataFrame:
-    rows = t.split()
+    rows = t.stored_split()
     train = rows.filter("is_train")
     medians, modes = churn_model.fit_impute(train)
     means, deviations = churn_model.fit_standardize(churn_model.impute(train, medians, modes))
@@ -214,7 +214,7 @@ def _standardize(t: Inputs) -> DataFrame:
 def _one_hot(t: Inputs) -> DataFrame:
     from pyspark.ml.functions import vector_to_array
 
-    rows = t.split()
+    rows = t.stored_split()
     encoded = churn_model.fit_one_hot(rows.filter("is_train")).transform(rows)
     digits = [
         F.array_join(F.transform(vector_to_array(f"onehot_{name}"), lambda x: x.cast("int").cast("string")), "").alias(
@@ -226,7 +226,7 @@ def _one_hot(t: Inputs) -> DataFrame:
 
 
 def _fitted(t: Inputs):
-    rows = t.split()
+    rows = t.stored_split()
     return churn_model.churn_fit(rows.filter("is_train").drop("is_train")), rows
 
 
@@ -325,7 +325,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
         t.accounts().select(F.col("account_id").alias("customer_id"), F.lit("Payment Failure").alias("alert_type")),
         t.alerts(),
     ),
-    "new_alert_counts": lambda t: alerts.new_alert_counts(t.health_alerts(), t.payment_alerts()),
+    "new_alert_counts": lambda t: alerts.new_alert_counts(
+        {"Customer Health Risk": t.health_alerts(), "Payment Failure": t.payment_alerts()}
+    ),
     "open_alert_summary": lambda t: alerts.open_alert_summary(t.alerts()),
     "alert_feed": lambda t: alerts.alert_feed(t.alerts()),
     "alert_feed_counts": lambda t: alerts.alert_feed_counts(alerts.alert_feed(t.alerts())),

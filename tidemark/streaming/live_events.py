@@ -7,8 +7,10 @@ out exactly once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -40,7 +42,7 @@ ALERT_SCHEMA = (
 )
 
 
-def kafka_messages(spark: SparkSession, servers: str, topic: str = "saas-events", **options: str) -> DataFrame:
+def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     """The topic from its earliest offset, as ``value`` text and arrival time."""
     return (
         spark.readStream.format("kafka")
@@ -123,11 +125,32 @@ def _other_batches(spark: SparkSession, path: str, schema: str, batch_id: int) -
     return table.filter(F.col("batch_id") != batch_id).drop("batch_id")
 
 
+def _source_event(metadata: str = "metadata") -> Column:
+    return F.get_json_object(metadata, "$.event_id").alias("source_event")
+
+
+def known_alerts(raised: DataFrame, stored: DataFrame, own_events: DataFrame) -> DataFrame:
+    """Alerts that can suppress a new one.
+
+    ``raised`` are the job's alerts of other batches, all written as open;
+    ``stored`` is the platform's alert table as it stands.  A raised alert that
+    was settled there no longer counts, and a stored alert that this very batch
+    raised before a replay must not suppress itself.
+    """
+    current = stored.select(F.col("customer_id").cast("string"), "alert_type", "status", _source_event())
+    settled = current.filter(F.col("status") != "Open").select("source_event")
+    unsettled = raised.select("customer_id", "alert_type", "status", _source_event()).join(
+        settled, "source_event", "left_anti"
+    )
+    own = own_events.select(F.col("event_id").alias("source_event"))
+    return unsettled.unionByName(current.join(own, "source_event", "left_anti")).drop("source_event")
+
+
 def start_live_events(
     messages: DataFrame,
     folder: str,
     *,
-    alerts: DataFrame | None = None,
+    alerts: Callable[[SparkSession], DataFrame] | None = None,
     trigger_feature: str = EXPANSION_FEATURE,
     dedupe: str = "sink",
     horizon: str = "7 days",
@@ -136,7 +159,8 @@ def start_live_events(
     """Store new events below ``folder/live_events`` and the expansion alerts
     they raise below ``folder/expansion_alerts``.
 
-    ``alerts`` are the alerts known elsewhere; open ones suppress new alerts.
+    ``alerts`` gives the platform's alert table, asked anew for each batch, so
+    that open alerts suppress and acknowledged ones stop doing so.
 
     ``dedupe`` decides how a repeated event id is recognised:
       * ``sink``: against the ids stored so far; exact for all time and for a
@@ -145,7 +169,6 @@ def start_live_events(
         event whatever the history (use the RocksDB state store);
       * ``watermark``: as ``state``, but ids are forgotten after ``horizon``.
     """
-    spark = messages.sparkSession
     events_path, alerts_path = f"{folder}/live_events", f"{folder}/expansion_alerts"
     events = usable(parse_messages(messages))
     if dedupe == "state":
@@ -161,17 +184,14 @@ def start_live_events(
         if dedupe == "sink":
             seen = _other_batches(session, events_path, EVENT_SCHEMA, batch_id).select("event_id")
             new = new.join(seen, "event_id", "left_anti")
-        own_events = f"{events_path}/batch_id={batch_id}"
-        new.write.mode("overwrite").parquet(own_events)
+        own_path = f"{events_path}/batch_id={batch_id}"
+        new.write.mode("overwrite").parquet(own_path)
 
-        raised = _other_batches(session, alerts_path, ALERT_SCHEMA, batch_id).select(
-            "customer_id", "alert_type", "status"
-        )
+        own_events = session.read.schema(EVENT_SCHEMA).parquet(own_path)
+        known = _other_batches(session, alerts_path, ALERT_SCHEMA, batch_id)
         if alerts is not None:
-            known = alerts.select(F.col("customer_id").cast("string"), "alert_type", "status")
-            raised = raised.unionByName(known)
-        written = session.read.schema(EVENT_SCHEMA).parquet(own_events)
-        expansion_alerts(written, raised, trigger_feature).write.mode("overwrite").parquet(
+            known = known_alerts(known, alerts(session), own_events)
+        expansion_alerts(own_events, known, trigger_feature).write.mode("overwrite").parquet(
             f"{alerts_path}/batch_id={batch_id}"
         )
 
@@ -201,3 +221,11 @@ def stored_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_alerts(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(ALERT_SCHEMA).parquet(f"{folder}/expansion_alerts/batch_id=*")
+
+
+def not_yet_stored(raised: DataFrame, stored: DataFrame) -> DataFrame:
+    """The job's alerts that the platform's alert table does not hold yet."""
+    fresh = raised.withColumn("source_event", _source_event()).join(
+        stored.select(_source_event()), "source_event", "left_anti"
+    )
+    return fresh.drop("source_event")
