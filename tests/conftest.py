@@ -30,6 +30,16 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def own_tables(spark):
+    """The stored tables a test writes are unknown before and after it."""
+    names = ("alerts", "revenue_forecast", "data_quality_results")
+    assert not any(spark.catalog.tableExists(name) for name in names)
+    yield
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 T0 = datetime(2024, 1, 31, 12, 0, 0)
 
 

@@ -88,7 +88,7 @@ def test_known_open_alert_suppresses(topic, tmp_path, spark):
     assert run(topic, tmp_path / "out", alerts=lambda session: known)[1] == [("6",)]
 
 
-def test_acknowledged_alert_fires_again(topic, tmp_path, spark):
+def test_acknowledged_alert_fires_again(topic, tmp_path, spark, own_tables):
     out = tmp_path / "out"
     current = {"table": daily.alert_table(spark).limit(0)}
 
@@ -107,7 +107,6 @@ def test_acknowledged_alert_fires_again(topic, tmp_path, spark):
     current["table"] = again.withColumn("status", F.lit("Acknowledged"))
     topic.send(event("c"))
     assert run(topic, out, alerts=table)[1] == [("1",), ("1",)]
-    spark.sql("DROP TABLE alerts")
 
 
 def test_replay_with_its_alert_already_taken_in(topic, tmp_path, spark):
