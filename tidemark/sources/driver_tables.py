@@ -51,6 +51,15 @@ def once(method):
     return built
 
 
+def _ahead(group: list[str], *order: str):
+    """Window over the rows of a group that come later in ``order``."""
+    return (
+        Window.partitionBy(*group)
+        .orderBy(*[F.col(name).desc() for name in order])
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+
+
 class DriverTables:
     """Lazy views over one scale-factor folder; every table is a method."""
 
@@ -173,41 +182,42 @@ class DriverTables:
         """Error events as tickets, resolved by the same user's next other event.
 
         "Next" looks ahead over a user's whole history.  One user may own a
-        third of all rows, so history is cut into minutes: a row looks ahead
-        inside its own minute, and otherwise takes the first hit of the later
-        minutes, found over one row per user and minute (at most half a million
-        a year for one user, however many events it has).
+        third of all rows, so history is cut into minutes and days: a row looks
+        ahead inside its own minute, a minute inside its own day, and a day
+        over the days that follow.  No window holds more rows than a minute
+        has events, a day has minutes, or a history has days.
         """
         events = self.raw("events").select("user_id", "event_id", "event_type", "ts", "value")
         events = events.withColumn("minute", F.date_trunc("minute", "ts").cast("timestamp_ntz"))
         other = F.when(F.col("event_type") != "error", F.col("ts"))
 
-        later_rows = (
-            Window.partitionBy("user_id", "minute")
-            .orderBy(F.col("ts").desc(), F.col("event_id").desc())
-            .rowsBetween(Window.unboundedPreceding, -1)
+        errors = events.withColumn("in_minute", F.min(other).over(_ahead(["user_id", "minute"], "ts", "event_id")))
+        minutes = (
+            events.groupBy("user_id", F.to_date("minute").alias("day"), "minute")
+            .agg(F.min(other).alias("first_other"))
+            .withColumn("in_day", F.min("first_other").over(_ahead(["user_id", "day"], "minute")))
         )
-        within = events.withColumn("same_minute", F.min(other).over(later_rows)).filter(F.col("event_type") == "error")
-
-        later_minutes = (
-            Window.partitionBy("user_id")
-            .orderBy(F.col("minute").desc())
-            .rowsBetween(Window.unboundedPreceding, -1)
+        days = (
+            minutes.groupBy("user_id", "day")
+            .agg(F.min("first_other").alias("first_other"))
+            .withColumn("in_history", F.min("first_other").over(_ahead(["user_id"], "day")))
+            .select("user_id", "day", "in_history")
         )
-        ahead = (
-            events.groupBy("user_id", "minute")
-            .agg(F.min(other).alias("first_other"))
-            .withColumn("later_minute", F.min("first_other").over(later_minutes))
-            .select("user_id", "minute", "later_minute")
+        later = minutes.join(days, ["user_id", "day"]).select(
+            "user_id", "minute", F.coalesce("in_day", "in_history").alias("after_minute")
         )
         value = F.col("value")
         severity = F.when(value < 5, "Low").when(value < 30, "Medium").when(value < 70, "High").otherwise("Critical")
-        return within.join(ahead, ["user_id", "minute"]).select(
-            F.col("event_id").alias("ticket_id"),
-            account_of(F.col("user_id")).alias("account_id"),
-            severity.alias("severity"),
-            F.col("ts").alias("created_at"),
-            F.coalesce("same_minute", "later_minute").alias("resolved_at"),
+        return (
+            errors.filter(F.col("event_type") == "error")
+            .join(later, ["user_id", "minute"])
+            .select(
+                F.col("event_id").alias("ticket_id"),
+                account_of(F.col("user_id")).alias("account_id"),
+                severity.alias("severity"),
+                F.col("ts").alias("created_at"),
+                F.coalesce("in_minute", "after_minute").alias("resolved_at"),
+            )
         )
 
     def live_messages(self, events: DataFrame | None = None) -> DataFrame:
