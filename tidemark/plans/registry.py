@@ -115,10 +115,16 @@ def _quarantined(t: Inputs) -> DataFrame:
 
 
 def _live_stream(t: Inputs) -> str:
-    """Run the streaming job over the event files; returns its output folder."""
+    """Run the streaming job over the event files, the whole backlog as one
+    batch; returns its output folder."""
     folder = fresh_folder(t.spark, "live")
     live_events.start_live_events(
-        t.live_stream(), folder, trigger_feature=LIVE_TRIGGER, alerts=lambda session: t.alerts(), availableNow=True
+        t.live_stream(),
+        folder,
+        trigger_feature=LIVE_TRIGGER,
+        alerts=lambda session: t.alerts(),
+        dedupe="sink",
+        availableNow=True,
     ).awaitTermination()
     return folder
 

@@ -152,7 +152,7 @@ def start_live_events(
     *,
     alerts: Callable[[SparkSession], DataFrame] | None = None,
     trigger_feature: str = EXPANSION_FEATURE,
-    dedupe: str = "sink",
+    dedupe: str = "state",
     horizon: str = "7 days",
     **trigger,
 ) -> StreamingQuery:
@@ -163,10 +163,12 @@ def start_live_events(
     that open alerts suppress and acknowledged ones stop doing so.
 
     ``dedupe`` decides how a repeated event id is recognised:
-      * ``sink``: against the ids stored so far; exact for all time and for a
-        lost checkpoint, at the price of reading the id column per batch;
       * ``state``: against keyed state, exact for all time, one lookup per
-        event whatever the history (use the RocksDB state store);
+        event however long the history.  Copies of an id within a batch meet
+        in one task, so bound the batches (``maxOffsetsPerTrigger``);
+      * ``sink``: against the ids stored so far, reading that column for every
+        batch.  Copies combine before the shuffle, so it suits a backlog taken
+        in as one batch, and it holds after the checkpoint was lost or reset;
       * ``watermark``: as ``state``, but ids are forgotten after ``horizon``.
     """
     events_path, alerts_path = f"{folder}/live_events", f"{folder}/expansion_alerts"
@@ -180,10 +182,10 @@ def start_live_events(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        new = first_deliveries(batch)
+        new = batch
         if dedupe == "sink":
             seen = _other_batches(session, events_path, EVENT_SCHEMA, batch_id).select("event_id")
-            new = new.join(seen, "event_id", "left_anti")
+            new = first_deliveries(batch).join(seen, "event_id", "left_anti")
         own_path = f"{events_path}/batch_id={batch_id}"
         new.write.mode("overwrite").parquet(own_path)
 
