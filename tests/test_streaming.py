@@ -167,7 +167,7 @@ def test_messages_are_parsed_once(spark):
     assert plan.count("from_json") == 1
 
 
-def test_batch_form_and_kafka_options(spark):
+def test_batch_form_and_unknown_mode(spark):
     messages = spark.createDataFrame(
         [(event("a"), T0), (event("b"), T0), (event("b"), T0)], "value string, received_at timestamp"
     )
