@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe
+from tidemark.llm import byte_bpe, quality, sharding, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +20,32 @@ def query(function):
     return function
 
 
+@query
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
+    return quality.judged(table(spark, folder, "documents")).select(columns)
+
+
+ORACLES["op2_quality_rules"] = quality.sql()
+
+
+@query
+def op5_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard_documents(table(spark, folder, "documents"), shards=40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "linked"
+    )
+
+
+#: (verdict, host and start of the path)
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query
+def op6_url_language_models(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
 @query
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(
