@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, quality, sharding, url_filter
+from tidemark.llm import byte_bpe, ngram_join, quality, repeated_spans, sharding, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op2_quality_rules"] = quality.sql()
 
 
+@query
+def op4_repeated_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_spans.span_digests(table(spark, folder, "documents"))
+
+
 @query
 def op5_label_propagation(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, folder, "documents"), shards=40)
@@ -46,6 +51,11 @@ def op6_url_language_models(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+@query
+def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, folder, "documents"))
+
+
 @query
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(
