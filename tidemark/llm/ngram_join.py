@@ -113,10 +113,11 @@ def frequent_grams(texts: DataFrame, words_in_gram: int, ranges: int) -> tuple[n
     found = stored(texts.mapInArrow(count, _BLOCKS).groupBy("range").applyInArrow(add, "slot bigint, documents bigint"))
     tier = F.floor(F.log2("documents")).cast("int")
     by_tier = {row[0]: row[1] for row in found.groupBy(tier.alias("tier")).count().collect()}
-    least, rows = max(by_tier, default=0) + 1, 0
-    while least - 1 in by_tier and rows + by_tier[least - 1] <= MOST_FREQUENT:
-        least -= 1
-        rows += by_tier[least]
+    least, rows = 99, 0
+    for each in sorted(by_tier, reverse=True):
+        rows += by_tier[each]
+        if rows <= MOST_FREQUENT:
+            least = each
     kept = found.where(tier >= least).select("slot", tier.alias("tier")).toArrow()
     slots, tiers = kept["slot"].to_numpy().astype(np.uint64), kept["tier"].to_numpy().astype(np.uint8)
     order = np.argsort(slots)

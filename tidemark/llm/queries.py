@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, ngram_join, quality, repeated_spans, sharding, url_filter
+from tidemark.llm import byte_bpe, decontamination, html_extract, licenses, line_dedup, ngram_join, quality, repeated_spans, sharding, url_filter
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,11 @@ def query(function):
     return function
 
 
+@query
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     columns = "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept".split()
@@ -29,6 +34,11 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op2_quality_rules"] = quality.sql()
 
 
+@query
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, folder, "pages"))
+
+
 @query
 def op4_repeated_spans(spark: SparkSession, folder: str) -> DataFrame:
     return repeated_spans.span_digests(table(spark, folder, "documents"))
@@ -51,11 +61,35 @@ def op6_url_language_models(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+@query
+def op7_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.best_by_paragraph(licenses.license_matches(table(spark, folder, "documents")))
+
+
+ORACLES["op7_license_scan"] = licenses.sql()
+
+
 @query
 def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, folder, "documents"))
 
 
+@query
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = line_dedup.without_repeated_lines(table(spark, folder, "documents"))
+    text = line_dedup.kept_text()
+    return kept.select(
+        "doc_id",
+        "n_units",
+        (F.col("n_units") - F.size("kept_units")).cast("long").alias("n_removed"),
+        F.length(text).cast("long").alias("kept_chars"),
+        F.sha2(text, 256).alias("kept_sha256"),
+    )
+
+
+ORACLES["op9_line_dedup"] = line_dedup.sql()
+
+
 @query
 def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(

@@ -50,10 +50,16 @@ REACH = 101
 #: Bytes from the trigger that lie in every string of its phrase.
 KEYED = LENGTH - REACH + 1
 #: Bytes of text behind one hash range of packed blocks.
-TEXT_PER_RANGE = 16 << 20
+TEXT_PER_RANGE = 48 << 20
 
 _KEY = "_document_key"
-_FOUND = "document bigint, repeated boolean, firsts binary, lasts binary"
+_ZIPPED = "_zipped_text"
+#: Per range: a block of what is sent, its documents, and a block of what the batch has settled itself.
+_DEALT = "range int, rows int, block binary, documents binary, owners int, settled binary, sure int"
+#: Starts of repeated strings, or of strings to be looked at, as packed runs.
+_FOUND = "document bigint, repeated boolean, runs binary"
+_RUN = np.dtype([("first", "<u4"), ("last", "<u4")])
+#: What a batch knows of something it sends: met once, met with its like only, met with others.
 _ONE, _SAME, _DIFFERENT = 0, 1, 2
 
 
@@ -86,9 +92,28 @@ def phrases(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return key, spread(hashes.of(first, last + LENGTH) + shape.astype(np.uint64)), first, last
 
 
-def _settled(document: np.ndarray, repeated: np.ndarray, first: np.ndarray, last: np.ndarray) -> bytes:
-    order = np.argsort(document, kind="stable")
-    return pack(document[order], repeated[order].astype(np.uint8), first[order].astype(np.uint32), last[order].astype(np.uint32))
+def _runs(owner: np.ndarray, repeated: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The same, sorted, with neighbouring starts of an owner joined."""
+    order = np.lexsort((first, repeated, owner))
+    owner, repeated, first, last = owner[order], repeated[order], first[order], last[order]
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | (repeated[1:] != repeated[:-1]) | (first[1:] != last[:-1] + 1)
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(owner)) - 1
+    return owner[starts], repeated[starts], first[starts], last[ends[: len(starts)]]
+
+
+def _classes(hashes: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of rows sorted by both: the size of each row's hash group, whether it has
+    different others, how many rows equal this one, and whether this is their first."""
+    starts = run_starts(hashes)
+    sizes = np.diff(np.append(starts, len(hashes)))
+    different = others[starts] != others[starts + sizes - 1] if len(starts) else np.empty(0, bool)
+    equal = np.ones(len(hashes), bool)
+    equal[1:] = (hashes[1:] != hashes[:-1]) | (others[1:] != others[:-1])
+    own = np.flatnonzero(equal)
+    alike = np.repeat(np.diff(np.append(own, len(hashes))), np.diff(np.append(own, len(hashes))))
+    return np.repeat(sizes, sizes), np.repeat(different, sizes), alike, equal
 
 
 def _dealt(
@@ -96,40 +121,46 @@ def _dealt(
 ) -> pa.RecordBatch:
     """One row per range: what the batch sends there, and what it knows already.
 
-    ``others`` tells different things with one hash apart.
+    ``others`` tells different things with one hash apart.  One row is sent for
+    each hash.  Of equal things met twice all are repeated; where there are
+    different ones, too, one of the equal ones is still to be looked at, for the
+    others' sake.
     """
     order = np.lexsort((others, hashes))
     hashes, others, owner, first, last = hashes[order], others[order], owner[order], first[order], last[order]
-    starts = run_starts(hashes)
-    sizes = np.diff(np.append(starts, len(hashes)))
-    known = np.where(sizes == 1, _ONE, np.where(others[starts] == others[starts + sizes - 1], _SAME, _DIFFERENT))
-    state = np.repeat(known, sizes)
+    sizes, different, alike, lead = _classes(hashes, others)
+    state = np.where(sizes == 1, _ONE, np.where(different, _DIFFERENT, _SAME)).astype(np.uint8)
+    sent = run_starts(hashes)
+    unsure = different & lead
+    doubled = alike > 1
+    told = [(owner[rows], np.full(rows.sum(), verdict), first[rows], last[rows]) for rows, verdict in ((unsure, False), (doubled, True))]
+    settled = _runs(*(np.concatenate(each) for each in zip(*told)))
+    goes = settled[0] % ranges
+    cuts = range_cuts(hashes[sent], ranges, 64)
     rows = []
-    cuts, all_cuts = range_cuts(hashes[starts], ranges, 64), range_cuts(hashes, ranges, 64)
     for number in range(ranges):
-        low, high = all_cuts[number], all_cuts[number + 1]
-        if low == high:
+        part = sent[cuts[number] : cuts[number + 1]]
+        known = goes == number
+        if not len(part) and not known.any():
             continue
-        sent = starts[cuts[number] : cuts[number + 1]]
-        block = pack(
-            hashes[sent],
-            others[sent],
-            owner[sent].astype(np.uint32),
-            first[sent].astype(np.uint32),
-            (last[sent] - first[sent]).astype(np.uint8),
-            known[cuts[number] : cuts[number + 1]].astype(np.uint8),
-        )
-        sure = low + np.flatnonzero(state[low:high] != _ONE)
-        used = np.unique(owner[low:high])
+        used = np.unique(owner[part])
+        own = [each[known] for each in settled]
         rows.append(
             (
                 number,
-                len(sent),
-                block,
-                pa.compress(np.stack([used.astype(np.int64), documents[used]]).tobytes(), codec="zstd", asbytes=True),
+                len(part),
+                pack(
+                    hashes[part],
+                    others[part] >> np.uint64(16),
+                    np.searchsorted(used, owner[part]).astype(np.uint32),
+                    first[part].astype(np.uint32),
+                    (last[part] - first[part]).astype(np.uint8),
+                    state[part],
+                ),
+                documents[used].tobytes(),
                 len(used),
-                _settled(documents[owner[sure]], state[sure] == _SAME, first[sure], last[sure]) if len(sure) else None,
-                len(sure),
+                pack(documents[own[0]], own[1].astype(np.uint8), own[2].astype(np.uint32), own[3].astype(np.uint32)),
+                len(own[0]),
             )
         )
     names = ["range", "rows", "block", "documents", "owners", "settled", "sure"]
@@ -138,52 +169,45 @@ def _dealt(
     return pa.RecordBatch.from_arrays([pa.array(each, kind) for each, kind in zip(columns, kinds)], names=names)
 
 
-#: Per range: a block of what is sent, its documents, and a block of what the batch has settled itself.
-_DEALT = "range int, rows int, block binary, documents binary, owners int, settled binary, sure int"
-
-
-def _by_document(document: np.ndarray, repeated: np.ndarray, first: np.ndarray, last: np.ndarray) -> pa.Table:
-    """One row per document and verdict, starts packed."""
-    order = np.lexsort((first, repeated, document))
-    document, repeated, first, last = document[order], repeated[order], first[order].astype(np.uint32), last[order].astype(np.uint32)
-    cuts = np.flatnonzero(np.concatenate((np.ones(min(1, len(document)), bool), (document[1:] != document[:-1]) | (repeated[1:] != repeated[:-1]))))
-    ends = np.append(cuts[1:], len(document))
+def _met(blocks: pa.Table) -> pa.Table:
+    """What a range finds: repeated phrases, and those to be looked at string by string."""
+    parts, settled = [], []
+    for rows, block, documents, known, sure in zip(*(blocks[name].to_pylist() for name in ("rows", "block", "documents", "settled", "sure"))):
+        if rows:
+            columns = unpack(block, rows, np.uint64, np.uint64, np.uint32, np.uint32, np.uint8, np.uint8)
+            columns[2] = np.frombuffer(documents, np.int64)[columns[2]]
+            columns[4] = columns[3] + columns[4]
+            parts.append(columns)
+        if sure:
+            settled.append(unpack(known, sure, np.int64, np.uint8, np.uint32, np.uint32))
+    found = settled
+    if parts:
+        hashes, others, document, first, last, state = (np.concatenate(each) for each in zip(*parts))
+        order = np.lexsort((others, hashes))
+        hashes, others, document, first, last, state = (each[order] for each in (hashes, others, document, first, last, state))
+        sizes, different, alike, lead = _classes(hashes, others)
+        starts = run_starts(hashes)
+        different |= np.repeat(np.maximum.reduceat(state, starts) == _DIFFERENT, np.diff(np.append(starts, len(hashes))))
+        # A row that stands for equal ones of its batch has been told as repeated there.
+        unsure = different & lead & (state != _DIFFERENT)
+        doubled = (alike > 1) & (state == _ONE)
+        for rows, verdict in ((unsure, 0), (doubled, 1)):
+            found.append([document[rows], np.full(rows.sum(), verdict, np.uint8), first[rows], last[rows]])
+    document, repeated, first, last = _runs(*(np.concatenate(each) for each in zip(*found))) if found else (np.empty(0, np.int64),) * 4
+    new = np.ones(len(document), bool)
+    new[1:] = (document[1:] != document[:-1]) | (repeated[1:] != repeated[:-1])
+    cuts = np.flatnonzero(new)
+    packed = np.empty(len(document), _RUN)
+    packed["first"], packed["last"] = first, last
     return pa.table(
         {
             "document": pa.array(document[cuts], pa.int64()),
             "repeated": pa.array(repeated[cuts].astype(bool), pa.bool_()),
-            "firsts": pa.array([first[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
-            "lasts": pa.array([last[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary()),
+            "runs": pa.array([packed[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(document)))], pa.binary()),
         }
     )
 
 
-def _met(blocks: pa.Table) -> pa.Table:
-    """What a range finds: repeated phrases, and those to be looked at string by string."""
-    parts, settled = [], []
-    for rows, block, documents, owners, known, sure in zip(
-        *(blocks[name].to_pylist() for name in ("rows", "block", "documents", "owners", "settled", "sure"))
-    ):
-        columns = unpack(block, rows, np.uint64, np.uint64, np.uint32, np.uint32, np.uint8, np.uint8)
-        own = np.frombuffer(pa.decompress(documents, owners * 16, codec="zstd", asbytes=True), np.int64).reshape(2, -1)
-        columns[2] = own[1][np.searchsorted(own[0], columns[2])]
-        columns[4] = columns[3] + columns[4]
-        parts.append(columns)
-        if sure:
-            settled.append(unpack(known, sure, np.int64, np.uint8, np.uint32, np.uint32))
-    hashes, others, document, first, last, state = (np.concatenate(each) for each in zip(*parts))
-    order = np.lexsort((others, hashes))
-    hashes, others, document, first, last, state = (each[order] for each in (hashes, others, document, first, last, state))
-    starts = run_starts(hashes)
-    sizes = np.diff(np.append(starts, len(hashes)))
-    different = (others[starts] != others[starts + sizes - 1]) | (np.maximum.reduceat(state, starts) == _DIFFERENT)
-    sizes, different = np.repeat(sizes, sizes), np.repeat(different, sizes)
-    # Phrases equal to others of their own batch are known as repeated; here one of them lends its strings.
-    told = (different & (state != _DIFFERENT)) | (~different & (sizes > 1) & (state == _ONE))
-    found = [(document[told], ~different[told], first[told], last[told]), *settled]
-    return _by_document(*(np.concatenate(each) for each in zip(*found)))
-
-
 def _ranges(docs: DataFrame, text: str) -> int:
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     return max(1, -(-total // TEXT_PER_RANGE))
@@ -194,7 +218,7 @@ def _data(text: str | None) -> np.ndarray:
 
 
 def met_phrases(texts: DataFrame, ranges: int) -> DataFrame:
-    """(document, repeated, firsts, lasts) of phrases whose key is met twice."""
+    """(document, repeated, runs) of phrases whose key is met twice."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,59 +232,80 @@ def met_phrases(texts: DataFrame, ranges: int) -> DataFrame:
     return texts.mapInArrow(parse, _DEALT).groupBy("range").applyInArrow(_met, _FOUND)
 
 
-def met_strings(texts: DataFrame, ranges: int) -> DataFrame:
-    """(document, repeated, firsts, lasts) of repeated strings among those that start
-    from ``firsts`` to ``lasts`` (lists of packed numbers)."""
+def met_strings(zipped: DataFrame, ranges: int) -> DataFrame:
+    """(document, repeated, runs) of repeated strings among those whose starts are in ``runs``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             documents = batch.column(0).to_numpy(zero_copy_only=False)
             hashes, starts = [], []
-            for text, firsts, lasts in zip(*(batch.column(at).to_pylist() for at in (1, 2, 3))):
-                first, last = _numbers(firsts), _numbers(lasts)
+            for packed, size, runs in zip(*(batch.column(at).to_pylist() for at in (1, 2, 3))):
+                first, last = _bounds(runs)
                 sizes = last - first + 1
-                at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-                at = np.unique(at)
+                at = np.unique(np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum()))
                 starts.append(at)
-                hashes.append(SubstringHashes(_data(text)).of(at, at + LENGTH))
+                hashes.append(SubstringHashes(_unzipped(packed, size)).of(at, at + LENGTH))
             if starts:
                 at = np.concatenate(starts)
                 owner = np.repeat(np.arange(len(starts)), [len(each) for each in starts])
                 every = np.concatenate(hashes)
                 yield _dealt(every, np.zeros_like(every), owner, at, at, documents, ranges)
 
-    return texts.mapInArrow(cut, _DEALT).groupBy("range").applyInArrow(_met, _FOUND)
+    return zipped.mapInArrow(cut, _DEALT).groupBy("range").applyInArrow(_met, _FOUND)
 
 
-def _numbers(packed: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.uint32).astype(np.int64)
+def _bounds(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    every = np.frombuffer(b"".join(runs), _RUN)
+    return every["first"].astype(np.int64), every["last"].astype(np.int64)
+
+
+def _unzipped(packed: bytes | None, size: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, size, codec="zstd", asbytes=True), np.uint8) if size else np.empty(0, np.uint8)
+
+
+def _zipped(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with the text compressed (null as it is) and its size in bytes, as
+    (other columns, text, size): what Spark shuffles is a third less."""
+    kept = [name for name in docs.columns if name != text]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if each is None else each.encode() for each in batch.column(text).to_pylist()]
+            packed = [None if each is None else pa.compress(each, codec="zstd", asbytes=True) for each in texts]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in kept), pa.array(packed, pa.binary()), pa.array([len(each or b"") for each in texts], pa.int64())],
+                names=[*kept, _ZIPPED, f"{_ZIPPED}_size"],
+            )
+
+    fields = [docs.schema[name] for name in kept]
+    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(_ZIPPED, T.BinaryType()), T.StructField(f"{_ZIPPED}_size", T.LongType())]))
 
 
 def _listed(found: DataFrame) -> DataFrame:
-    return found.groupBy("document").agg(F.collect_list("firsts").alias("firsts"), F.collect_list("lasts").alias("lasts"))
+    return found.groupBy("document").agg(F.collect_list("runs").alias("runs"))
 
 
 def with_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` plus ``firsts`` and ``lasts``: lists of packed numbers, the starts of
-    the first and last of neighbouring strings that are repeated (null for none)."""
+    """``docs`` with the text compressed (see ``_zipped``), plus ``_runs``: lists of
+    packed runs, the starts of repeated strings (null for none)."""
     keyed = docs.withColumn(_KEY, F.xxhash64(key, text))
     texts = keyed.select(F.col(_KEY).alias("document"), F.col(text).alias("text"))
     ranges = _ranges(docs, text)
     met = stored(met_phrases(texts, ranges))
     unsure = _listed(met.where("NOT repeated"))
-    strings = met_strings(texts.join(unsure, "document").select("document", "text", "firsts", "lasts"), ranges)
-    found = stored(_listed(met.where("repeated").unionByName(strings.where("repeated"))))
-    spans = found.select(F.col("document").alias(_KEY), "firsts", "lasts")
-    clear = keyed.drop(*(name for name in ("firsts", "lasts") if name in keyed.columns))
-    return clear.join(spans, _KEY, "left").drop(_KEY)
+    strings = met_strings(_zipped(texts, "text").join(unsure, "document").select("document", _ZIPPED, f"{_ZIPPED}_size", "runs"), ranges)
+    found = stored(met.where("repeated").unionByName(strings.where("repeated")))
+    runs = _listed(found).select(F.col("document").alias(_KEY), F.col("runs").alias("_runs"))
+    return _zipped(keyed, text).join(runs, _KEY, "left").drop(_KEY)
 
 
-def removed_bytes(size: int, firsts: list[bytes] | None, lasts: list[bytes] | None) -> np.ndarray:
+def removed_bytes(size: int, runs: list[bytes] | None) -> np.ndarray:
     """Which of a text's bytes lie in repeated strings."""
     edges = np.zeros(size + 1, np.int32)
-    if firsts:
-        np.add.at(edges, _numbers(firsts), 1)
-        np.add.at(edges, _numbers(lasts) + LENGTH, -1)
+    if runs:
+        first, last = _bounds(runs)
+        np.add.at(edges, first, 1)
+        np.add.at(edges, last + LENGTH, -1)
     return np.cumsum(edges[:-1]) > 0
 
 
@@ -270,17 +315,17 @@ def span_digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, removed, spans, kept = [], [], [], []
-            for each, firsts, lasts in zip(*(batch.column(at).to_pylist() for at in (1, 2, 3))):
-                data = _data(each)
-                gone = removed_bytes(len(data), firsts, lasts)
-                sizes.append(len(data))
+            for packed, size, runs in zip(*(batch.column(at).to_pylist() for at in (1, 2, 3))):
+                data = _unzipped(packed, size)
+                gone = removed_bytes(size, runs)
+                sizes.append(size)
                 removed.append(int(gone.sum()))
                 spans.append(int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum()))
                 kept.append(hashlib.sha256(data[~gone].tobytes()).hexdigest())
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    repeats = with_repeats(docs.select(key, text), key, text).select(key, text, "firsts", "lasts")
+    repeats = with_repeats(docs.select(key, text), key, text).select(key, _ZIPPED, f"{_ZIPPED}_size", "_runs")
     kind = docs.schema[key].dataType.simpleString()
     return repeats.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
@@ -288,20 +333,19 @@ def span_digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated bytes cut out of the text.  A character goes when all
     its bytes are repeated.  Null texts stay null."""
-    order = [text, "firsts", "lasts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for each, firsts, lasts in zip(*(batch.column(name).to_pylist() for name in order)):
-                if each and firsts:
-                    data = _data(each)
+            for packed, size, runs in zip(*(batch.column(name).to_pylist() for name in (_ZIPPED, f"{_ZIPPED}_size", "_runs"))):
+                data = _unzipped(packed, size)
+                if runs:
                     character = np.cumsum((data & 0xC0) != 0x80) - 1
                     kept = np.zeros(character[-1] + 1, bool)
-                    kept[character[~removed_bytes(len(data), firsts, lasts)]] = True
-                    each = data[kept[character]].tobytes().decode()
-                texts.append(each)
+                    kept[character[~removed_bytes(size, runs)]] = True
+                    data = data[kept[character]]
+                texts.append(None if packed is None else data.tobytes().decode())
             columns = [pa.array(texts, pa.string()) if name == text else batch.column(name) for name in docs.columns]
             yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
 
-    return with_repeats(docs, key, text).mapInArrow(run, T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema.fields]))
+    return with_repeats(docs, key, text).mapInArrow(run, T.StructType(docs.schema.fields[:]))
