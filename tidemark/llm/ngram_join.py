@@ -21,8 +21,10 @@ Nodes of grams that are not frequent have fewer sets than the limit, so all
 their pairs can be looked at.  A frequent gram can lie on a node with a third
 of all sets.  There each set is first compared with the leader of a few of its
 nodes, which joins most of a family of copies; then the only pairs left to look
-at are those whose sets are in different components, and they are looked at
-all.  Equal sets are one vertex throughout (a 64-bit fingerprint).
+at are those whose sets are in different components.  All sets that meet at
+nodes with several components form a family; its sets outside its largest
+component are held against all of it, block by block, and only links leave a
+block.  Equal sets are one vertex throughout (a 64-bit fingerprint).
 
 Null and empty texts have no grams and are linked with nothing.  A text with
 fewer words than a gram is one gram.  Rows with equal or null ids are compared
@@ -37,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -50,6 +53,10 @@ FREQUENT = 24
 MOST_FREQUENT = 1 << 22
 #: Bytes of text behind one hash range of packed blocks.
 TEXT_PER_RANGE = 16 << 20
+#: Ranges of a small input, for the sake of parallel work.
+LEAST_RANGES = 8
+#: Grams of the sets that a block of a family holds.
+GRAMS_PER_BLOCK = 400_000
 #: Nodes of frequent grams at which a set is compared with the leader.
 STARS = 6
 
@@ -152,9 +159,9 @@ def _enough(overlap: Column, size_a: Column, size_b: Column, percent: int) -> Co
 def prefixes(
     docs: DataFrame, words_in_gram: int, percent: int, frequent: Broadcast, key: str, text: str
 ) -> DataFrame:
-    """(doc_id, n_shingles, vertex, rare, prefix): the first grams of each
-    document's ordered set, as packed 64-bit hashes, and how many of the set are
-    not frequent.  Without grams, vertex and prefix are null."""
+    """(doc_id, text_hash, n_shingles, vertex, rare, prefix): the first grams of
+    each document's ordered set, as packed 64-bit hashes, and how many of the set
+    are not frequent.  Without grams, vertex and prefix are null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,13 +174,13 @@ def prefixes(
                 vertices.append(fingerprint(grams) if len(grams) else None)
                 packed.append(ordered[: _prefix(len(grams), percent)].tobytes() if len(grams) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(vertices, pa.int64()), pa.array(rares, pa.int64()), pa.array(packed, pa.binary())],
-                names=["doc_id", "n_shingles", "vertex", "rare", "prefix"],
+                [batch.column(0), batch.column(2), *(pa.array(each, pa.int64()) for each in (sizes, vertices, rares)), pa.array(packed, pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "vertex", "rare", "prefix"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"doc_id {kind}, n_shingles bigint, vertex bigint, rare bigint, prefix binary"
-    return docs.select(key, text).mapInArrow(run, schema)
+    schema = f"doc_id {kind}, text_hash bigint, n_shingles bigint, vertex bigint, rare bigint, prefix binary"
+    return docs.select(key, text, F.xxhash64(text).alias("text_hash")).mapInArrow(run, schema)
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray]]:
@@ -229,12 +236,12 @@ def rare_node_pairs(nodes: DataFrame, percent: int, ranges: int) -> DataFrame:
 
 
 def frequent_nodes(nodes: DataFrame) -> DataFrame:
-    """(slot, vertex, size, place, star) of prefix grams that are frequent."""
+    """(slot, vertex, size, star) of prefix grams that are frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [
-                (_slots(prefix[rare:]).astype(np.int64), vertex, size, np.arange(rare, len(prefix)))
+                (_slots(prefix[rare:]).astype(np.int64), vertex, size)
                 for vertex, size, rare, prefix in _sets(batch)
                 if rare < len(prefix)
             ]
@@ -246,14 +253,13 @@ def frequent_nodes(nodes: DataFrame) -> DataFrame:
                     pa.array(np.concatenate([each[0] for each in parts])),
                     pa.array(np.repeat([each[1] for each in parts], lengths)),
                     pa.array(np.repeat([each[2] for each in parts], lengths)),
-                    pa.array(np.concatenate([each[3] for each in parts])),
                     pa.array(np.concatenate([np.arange(length) < STARS for length in lengths])),
                 ],
-                names=["slot", "vertex", "size", "place", "star"],
+                names=["slot", "vertex", "size", "star"],
             )
 
     rows = nodes.select("vertex", "n_shingles", "rare", "prefix").mapInArrow(
-        run, "slot bigint, vertex bigint, size bigint, place bigint, star boolean"
+        run, "slot bigint, vertex bigint, size bigint, star boolean"
     )
     return rows.distinct()
 
@@ -267,30 +273,96 @@ def star_pairs(nodes: DataFrame, percent: int) -> DataFrame:
     return met.where(fits & (F.col("vertex") != F.col("leader"))).select(F.col("vertex").alias("a"), F.col("leader").alias("b")).distinct()
 
 
-def parted_pairs(nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """(a, b) of frequent nodes whose sets are in different components.
-
-    At each node, sets outside its largest component meet all sets of other
-    components; sets inside it are linked already.
-    """
-    labelled = nodes.drop("star").join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
-    labelled = stored(labelled)
-    by_root = labelled.groupBy("slot", "root").agg(F.count("*").alias("sets"))
+def families(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(family, vertex, root, size, outside) of sets that meet sets of other
+    components at a frequent node; ``outside``: not in the family's largest component."""
+    labelled = stored(
+        nodes.drop("star").join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex")).distinct()
+    )
     parted = (
-        by_root.groupBy("slot")
-        .agg(F.max(F.struct("sets", "root")).alias("largest"), F.count("*").alias("roots"))
-        .where("roots > 1")
-        .select("slot", F.col("largest.root").alias("largest"))
+        labelled.groupBy("slot")
+        .agg(F.min("vertex").alias("leader"), F.min("root").alias("first"), F.max("root").alias("last"))
+        .where("first != last")
+        .select("slot", "leader")
+    )
+    met = labelled.join(parted, "slot")
+    ties = components(met.select(F.col("vertex").alias("a"), F.col("leader").alias("b")).distinct())
+    rows = stored(
+        met.select("vertex", "root", "size").distinct().join(ties.withColumnRenamed("root", "family"), "vertex")
     )
-    rows = labelled.join(parted, "slot")
-    outside = rows.where("root != largest").select(*[F.col(name).alias(f"{name}_a") for name in ("slot", "vertex", "size", "place", "root")])
-    rest = 1 + F.least(F.col("size_a") - F.col("place_a"), F.col("size") - F.col("place")) - 1
-    met = outside.join(rows, F.col("slot") == F.col("slot_a")).where(
-        (F.col("root") != F.col("root_a"))
-        & _enough(rest, F.col("size_a"), F.col("size"), percent)
-        & ((F.col("root") == F.col("largest")) | (F.col("vertex_a") < F.col("vertex")))
+    largest = (
+        rows.groupBy("family", "root")
+        .agg(F.count("*").alias("sets"))
+        .groupBy("family")
+        .agg(F.max(F.struct("sets", "root")).alias("largest"))
+        .select("family", F.col("largest.root").alias("largest"))
     )
-    return met.select(F.col("vertex_a").alias("a"), F.col("vertex").alias("b")).distinct()
+    return rows.join(largest, "family").select("family", "vertex", "root", "size", (F.col("root") != F.col("largest")).alias("outside"))
+
+
+def links_between(own: list[np.ndarray], others: list[np.ndarray], percent: int) -> Iterator[tuple[int, int]]:
+    """(place in own, place in others) of all similar pairs, from the overlaps of
+    each of ``others`` with all of ``own`` at once."""
+    sizes = np.array([len(each) for each in own])
+    grams = np.concatenate(own)
+    order = np.argsort(grams, kind="stable")
+    owners = np.repeat(np.arange(len(own)), sizes)[order]
+    grams = grams[order]
+    starts = run_starts(grams)
+    grams, ends = grams[starts], np.append(starts[1:], len(grams))
+    for place, other in enumerate(others):
+        at = np.minimum(np.searchsorted(grams, other), len(grams) - 1)
+        at = at[grams[at] == other]
+        lengths = ends[at] - starts[at]
+        held = np.repeat(starts[at] - np.cumsum(lengths) + lengths, lengths) + np.arange(lengths.sum())
+        overlap = np.bincount(owners[held], minlength=len(own))
+        for linked in np.flatnonzero((100 + percent) * overlap >= percent * (sizes + len(other))).tolist():
+            yield linked, place
+
+
+def family_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links between the components of each family, enough to join those they join."""
+
+    def compare(rows: pa.Table) -> pa.Table:
+        outside = rows.filter(rows["role"])
+        inside = rows.filter(pc.invert(rows["role"]))
+        own, others = ([np.frombuffer(each, np.uint64) for each in part["grams"].to_pylist()] for part in (outside, inside))
+        vertices = [part["vertex"].to_pylist() for part in (outside, inside)]
+        groups = [part["root"].to_pylist() for part in (outside, inside)]
+        joined, a, b = {}, [], []
+
+        def find(root: int) -> int:
+            while root in joined:
+                root = joined[root]
+            return root
+
+        for x, y in links_between(own, others, percent) if own and others else ():
+            left, right = find(groups[0][x]), find(groups[1][y])
+            if left != right:
+                joined[max(left, right)] = min(left, right)
+                a.append(vertices[0][x])
+                b.append(vertices[1][y])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    def blocks(total: str) -> Column:
+        return F.greatest(F.lit(1), F.ceil(F.col(total) / GRAMS_PER_BLOCK)).cast("long")
+
+    totals = members.groupBy("family").agg(
+        F.sum("size").alias("all"), F.sum(F.when(F.col("outside"), F.col("size")).otherwise(0)).alias("out")
+    )
+    counts = totals.select("family", blocks("all").alias("inner"), blocks("out").alias("outer"))
+    placed = members.join(counts, "family")
+    spot = F.xxhash64("vertex", F.lit(2))
+    as_outside = placed.where("outside").select(
+        "family", F.pmod(spot, "outer").alias("outer_block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("inner") - 1)).alias("inner_block"),
+        F.lit(True).alias("role"), "vertex", "root",
+    )
+    as_inside = placed.select(
+        "family", F.explode(F.sequence(F.lit(0).cast("long"), F.col("outer") - 1)).alias("outer_block"), F.pmod(spot, "inner").alias("inner_block"),
+        F.lit(False).alias("role"), "vertex", "root",
+    )
+    work = as_outside.unionByName(as_inside).join(sets, "vertex")
+    return work.groupBy("family", "outer_block", "inner_block").applyInArrow(compare, "a bigint, b bigint")
 
 
 def linked_in_tree(own: np.ndarray, others: list[np.ndarray], percent: int) -> list[bool]:
@@ -325,8 +397,10 @@ def linked_in_tree(own: np.ndarray, others: list[np.ndarray], percent: int) -> l
     return result
 
 
-def verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, words_in_gram: int, percent: int, frequent: Broadcast, key: str, text: str) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity, counted on whole sets.
+def ordered_sets(
+    vertices: DataFrame, docs: DataFrame, first: DataFrame, words_in_gram: int, frequent: Broadcast, key: str, text: str
+) -> DataFrame:
+    """(vertex, grams): whole ordered sets, as packed hashes.
 
     Sets are made again from the texts of the documents needed (``first`` names
     one by vertex): moving those few texts is less than storing all sets.
@@ -343,6 +417,14 @@ def verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, words_in_gram:
                 names=["vertex", "grams"],
             )
 
+    needed = vertices.distinct().join(first, "vertex").select("first_id").distinct()
+    texts = docs.join(needed, docs[key].eqNullSafe(needed["first_id"]), "left_semi").select(text)
+    return stored(texts.mapInArrow(make, "vertex bigint, grams binary").groupBy("vertex").agg(F.first("grams").alias("grams")))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity, counted on whole sets."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, own, others = (batch.column(at).to_pylist() for at in range(4))
@@ -358,47 +440,69 @@ def verified(pairs: DataFrame, docs: DataFrame, first: DataFrame, words_in_gram:
                 [pa.array([a[at] for at in kept], pa.int64()), pa.array([b[at] for at in kept], pa.int64())], names=["a", "b"]
             )
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("vertex")).distinct().join(first, "vertex").select("first_id").distinct()
-    texts = docs.join(needed, docs[key].eqNullSafe(needed["first_id"]), "left_semi").select(text)
-    sets = texts.mapInArrow(make, "vertex bigint, grams binary").groupBy("vertex").agg(F.first("grams").alias("grams"))
-    sets = stored(sets)
     of_b = sets.select(F.col("vertex").alias("b"), F.col("grams").alias("others"))
     of_a = sets.select(F.col("vertex").alias("a"), F.col("grams").alias("own"))
     met = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "own", "others")
     return stored(met.mapInArrow(compare, "a bigint, b bigint"))
 
 
-def ngram_components(
-    docs: DataFrame, words_in_gram: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row: the size of its set and
-    the smallest id that links reach."""
-    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+def _rooted(docs: DataFrame, words_in_gram: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """From (doc_id, text): (doc_id, text_hash, n_shingles, vertex) of every row, and
+    (vertex, first_id, root) of every set."""
     key, text = "doc_id", "text"
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    ranges = max(1, -(-total // TEXT_PER_RANGE))
+    ranges = max(LEAST_RANGES, -(-total // TEXT_PER_RANGE))
     frequent = spark.sparkContext.broadcast(frequent_grams(docs.select(text), words_in_gram, ranges))
     known = stored(prefixes(docs, words_in_gram, percent, frequent, key, text))
     sets = known.where("vertex IS NOT NULL")
     first = sets.groupBy("vertex").agg(F.min("doc_id").alias("first_id"))
     nodes = stored(frequent_nodes(sets))
     pairs = stored(rare_node_pairs(sets, percent, ranges).unionByName(star_pairs(nodes, percent)).distinct())
-    links = verified(pairs, docs, first, words_in_gram, percent, frequent, key, text)
+
+    def sets_of(vertices: DataFrame) -> DataFrame:
+        return ordered_sets(vertices, docs, first, words_in_gram, frequent, key, text)
+
+    links = verified(pairs, sets_of(pairs.select(F.explode(F.array("a", "b")).alias("vertex"))), percent)
     roots = components(links)
-    more = stored(parted_pairs(nodes, roots, percent))
-    if not more.isEmpty():
-        found = verified(more, docs, first, words_in_gram, percent, frequent, key, text)
+    members = stored(families(nodes, roots))
+    if not members.isEmpty():
+        found = family_links(members, sets_of(members.select("vertex")), percent)
         roots = components(roots.select(F.col("vertex").alias("a"), F.col("root").alias("b")).unionByName(found))
-    smallest = (
-        first.join(roots, "vertex", "left")
-        .withColumn("root", F.coalesce("root", "vertex"))
-    )
-    smallest = stored(smallest)
-    ids = smallest.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_vertex = smallest.join(ids, "root").select("vertex", "component_id")
+    rooted = first.join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
+    return known.select("doc_id", "text_hash", "n_shingles", "vertex"), stored(rooted)
+
+
+def ngram_components(
+    docs: DataFrame, words_in_gram: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row: the size of its set and
+    the smallest id that links reach."""
+    known, rooted = _rooted(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), words_in_gram, percent)
+    ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    own = F.when(F.col("vertex").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return (
-        known.select("doc_id", "n_shingles", "vertex")
-        .join(by_vertex, "vertex", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("vertex").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        known.join(rooted.join(ids, "root").select("vertex", "component_id"), "vertex", "left")
+        .select("doc_id", "n_shingles", own.alias("component_id"))
+    )
+
+
+def without_near_copies(
+    docs: DataFrame, words_in_gram: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id
+    (nulls last, then by a hash of the text), once even if its row is repeated.
+    Documents without grams are linked with nothing and all stay."""
+    known, rooted = _rooted(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), words_in_gram, percent)
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    chosen = (
+        known.join(rooted.select("vertex", "root"), "vertex")
+        .groupBy("root")
+        .agg(F.min(place).alias("first"))
+        .select(F.col("first.doc_id").alias("_first_id"), F.col("first.text_hash").alias("_first_hash"))
     )
+    hashed = docs.withColumn("_text_hash", F.xxhash64(text))
+    wordless = F.col(text).isNull() | ~F.col(text).rlike("[^\\x20\\x09-\\x0D]")
+    same = F.col(key).eqNullSafe(F.col("_first_id")) & (F.col("_text_hash") == F.col("_first_hash"))
+    kept = hashed.where(~wordless).join(chosen, same, "left_semi").dropDuplicates([key, "_text_hash"])
+    return kept.drop("_text_hash").unionByName(docs.where(wordless))
