@@ -145,25 +145,30 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str, key: str = "doc_id"
     return _mapped(encoded, [key, ids], f"`{key}` {kind}, bytes binary", rank_file, pattern, rows)
 
 
-def round_trip(docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip(
+    docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id", text: str = "text", with_ids: bool = False
+) -> DataFrame:
     """Per row: key, n_tokens, ids_sha256 (of the ids as little-endian unsigned
-    32-bit integers) and decoded_sha256 (of the bytes decoded from those ids).
+    32-bit integers) and decoded_sha256 (of the bytes decoded from those ids),
+    and the ids themselves if wanted.
 
     Encodes and decodes in one pass, so ids need not travel through Spark.
     """
 
     def rows(tool: ByteBpe, batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = tool.encode(batch.column(1).to_pylist())
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array([len(each) // 4 for each in ids], pa.int64()),
-                pa.array([hashlib.sha256(each).hexdigest() for each in ids], pa.string()),
-                pa.array([hashlib.sha256(tool.decode(each)).hexdigest() for each in ids], pa.string()),
-            ],
-            names=[key, "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+        columns = [
+            batch.column(0),
+            pa.array([len(each) // 4 for each in ids], pa.int64()),
+            pa.array([hashlib.sha256(each).hexdigest() for each in ids], pa.string()),
+            pa.array([hashlib.sha256(tool.decode(each)).hexdigest() for each in ids], pa.string()),
+        ]
+        names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
+        if with_ids:
+            columns.append(pa.array([np.frombuffer(each, "<u4").astype(np.int32) for each in ids], pa.list_(pa.int32())))
+            names.append("ids")
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"`{key}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return _mapped(docs, [key, text], schema, rank_file, pattern, rows)
+    return _mapped(docs, [key, text], schema + (", ids array<int>" if with_ids else ""), rank_file, pattern, rows)

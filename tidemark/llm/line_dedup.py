@@ -42,7 +42,8 @@ def units(docs: DataFrame, key: str = "doc_id", text: str = "text", separator: s
     )
     rows = split.select("doc_id", "text_hash", F.posexplode("parts").alias("unit_no", "unit"))
     normal = rows.select("doc_id", "text_hash", "unit_no", _normal(F.col("unit")).alias("normal"))
-    return normal.where(F.col("normal").rlike(f"^(?:[^ ]+ ){{{LEAST_WORDS - 1},}}[^ ]")).select(
+    spaces = F.length("normal") - F.length(F.replace("normal", F.lit(" "), F.lit("")))
+    return normal.where(spaces >= LEAST_WORDS - 1).select(
         "doc_id",
         "text_hash",
         "unit_no",
@@ -69,7 +70,8 @@ def without_repeated_lines(
     clear = docs.drop("kept_units", "n_units")
     removed = removed_units(clear, key, text, separator)
     same = clear[key].eqNullSafe(removed["doc_id"]) & (F.xxhash64(clear[text]) == removed["text_hash"])
-    joined = clear.join(removed, same, "left").select(*[clear[name] for name in clear.columns], F.col("removed").alias("_removed"))
+    names = clear.columns
+    joined = clear.join(removed, same, "left").select(*[clear[name] for name in names], F.col("removed").alias("_removed"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,10 +85,10 @@ def without_repeated_lines(
                     at += len(part) + len(separator)
                 kept.append(rows)
                 numbers.append(len(parts))
-            columns = [batch.column(name) for name in clear.columns]
+            columns = [batch.column(name) for name in names]
             units_kind = pa.list_(pa.struct([("start", pa.int64()), ("unit", pa.string())]))
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(numbers, pa.int64()), pa.array(kept, units_kind)], names=[*clear.columns, "n_units", "kept_units"]
+                [*columns, pa.array(numbers, pa.int64()), pa.array(kept, units_kind)], names=[*names, "n_units", "kept_units"]
             )
 
     schema = T.StructType(clear.schema.fields[:])

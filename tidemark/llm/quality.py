@@ -179,6 +179,15 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     return compared.withColumn("kept", verdict)
 
 
+def kept_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with their columns as they are."""
+    rows = docs.select(F.struct(*docs.columns).alias("_document"), F.col(text), "lang")
+    # Without the row number Spark would push the filter below the projections and
+    # repeat their work inside it, once for each place a column is used.
+    numbered = judged(rows, text).withColumn("_number", F.monotonically_increasing_id())
+    return numbered.where(F.col("kept") & (F.col("_number") >= 0)).select("_document.*")
+
+
 def sql() -> str:
     """The same in DuckDB SQL over ``documents`` (unique doc_id)."""
     separators = r"\x20\x09-\x0D"
