@@ -58,12 +58,16 @@ class SubstringHashes:
 
 def pack(*columns: np.ndarray) -> bytes:
     """Columns of equal length, the first one sorted, as one compressed block."""
+    if not len(columns[0]):
+        return b""
     first = np.diff(columns[0], prepend=columns[0].dtype.type(0))
     planes = [np.ascontiguousarray(each).view(np.uint8).reshape(len(each), -1).T.tobytes() for each in (first, *columns[1:])]
     return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
 
 def unpack(block: bytes, rows: int, *kinds: type) -> list[np.ndarray]:
+    if not rows:
+        return [np.empty(0, kind) for kind in kinds]
     widths = [np.dtype(kind).itemsize for kind in kinds]
     raw = np.frombuffer(pa.decompress(block, rows * sum(widths), codec="zstd", asbytes=True), np.uint8)
     columns, at = [], 0

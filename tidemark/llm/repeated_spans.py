@@ -51,6 +51,8 @@ REACH = 101
 KEYED = LENGTH - REACH + 1
 #: Bytes of text behind one hash range of packed blocks.
 TEXT_PER_RANGE = 48 << 20
+#: Ranges of a small input, for the sake of parallel work.
+LEAST_RANGES = 16
 
 _KEY = "_document_key"
 _ZIPPED = "_zipped_text"
@@ -210,7 +212,7 @@ def _met(blocks: pa.Table) -> pa.Table:
 
 def _ranges(docs: DataFrame, text: str) -> int:
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return max(1, -(-total // TEXT_PER_RANGE))
+    return max(LEAST_RANGES, -(-total // TEXT_PER_RANGE))
 
 
 def _data(text: str | None) -> np.ndarray:
@@ -333,6 +335,7 @@ def span_digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated bytes cut out of the text.  A character goes when all
     its bytes are repeated.  Null texts stay null."""
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,7 +348,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                     kept[character[~removed_bytes(size, runs)]] = True
                     data = data[kept[character]]
                 texts.append(None if packed is None else data.tobytes().decode())
-            columns = [pa.array(texts, pa.string()) if name == text else batch.column(name) for name in docs.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            columns = [pa.array(texts, pa.string()) if name == text else batch.column(name) for name in names]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return with_repeats(docs, key, text).mapInArrow(run, T.StructType(docs.schema.fields[:]))
