@@ -2,9 +2,9 @@
 
 Balanced label propagation: every linked document starts in the shard its id
 hashes to.  In each round a group of linked documents counts its members by
-shard, all its members propose to move to the shard that holds most of them
-and still has room, and each shard accepts no more than its quota leaves.
-Groups larger than a shard fill one shard after another.  Documents without
+shard; all others propose to move to the shard that holds most of them (a group
+larger than a shard has as many such homes as it needs), or if that is full to
+the next one with room; and each shard accepts no more than its quota leaves.  Documents without
 links cost no edge wherever they are, so they fill what is left: row counts
 end at most one apart, by construction.
 
@@ -62,6 +62,7 @@ def _shard_rows(df: DataFrame, column: str = "shard") -> dict[int, int]:
 
 
 def _lookup(numbers: list[int], index: Column) -> Column:
+    """The number at ``index``, which must not be null: generated code reads a null index as 0."""
     return F.element_at(F.array(*map(F.lit, numbers)), index + 1)
 
 
@@ -75,29 +76,29 @@ def propagate(linked: DataFrame, quota: int, shards: int, rounds: int) -> DataFr
         load = _shard_rows(linked)
         room = [max(0, quota - load.get(shard, 0)) for shard in range(shards)]
         votes = linked.groupBy(*group, "shard").agg(F.count("*").alias("votes"))
-        targets = (
-            votes.where(_lookup(room, F.col("shard")) > 0)
-            .groupBy(*group)
-            .agg(F.max(F.struct("votes", (-F.col("shard")).alias("shard"))).alias("best"))
-            .select(*group, (-F.col("best.shard")).alias("target"), F.col("best.votes").alias("target_votes"))
+        vote = F.struct("votes", (-F.col("shard")).alias("shard"), (_lookup(room, F.col("shard")) > 0).alias("open"))
+        # A group needs as many shards as its size asks for: those that hold most of it
+        # are its home.  Where no home has room, the next shard that has joins them.
+        ranked = votes.groupBy(*group).agg(
+            F.sort_array(F.collect_list(vote), asc=False).alias("ranked"),  # a row per shard at most
+            F.greatest(F.lit(1), F.ceil(F.sum("votes") / max(1, quota))).cast("int").alias("needs"),
         )
-        # A full shard keeps what it holds when it holds more of the group than the target does.
+        home = ranked.withColumn("home", F.slice("ranked", 1, F.col("needs"))).withColumn(
+            "goal", F.filter("home", lambda each: each["open"])
+        )
+        spare = F.slice(F.filter("ranked", lambda each: each["open"]), 1, 1)
+        targets = home.select(
+            *group,
+            F.transform("home", lambda each: -each["shard"]).alias("home"),
+            F.transform(F.when(F.size("goal") > 0, F.col("goal")).otherwise(spare), lambda each: -each["shard"]).alias("goal"),
+        )
+        pick = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.greatest(F.lit(1), F.size("goal"))).cast("int")
+        stays = F.array_contains(F.concat("home", "goal"), F.col("shard"))
         proposed = (
-            linked.join(votes, [*group, "shard"])
-            .join(targets, group, "left")
-            .withColumn(
-                "target",
-                F.when(
-                    (F.col("target") != F.col("shard"))
-                    & (
-                        (F.col("votes") < F.col("target_votes"))
-                        | ((F.col("votes") == F.col("target_votes")) & (F.col("target") < F.col("shard")))
-                    ),
-                    F.col("target"),
-                ),
-            )
+            linked.join(targets, group)
+            .withColumn("target", F.when(~stays, F.get("goal", pick)))
             .withColumn("slice", F.pmod(F.xxhash64("target", "doc_id", "group_1"), F.lit(PROPOSAL_SLICES)))
-            .drop("votes", "target_votes")
+            .drop("home", "goal")
         )
         proposed = stored(proposed)
         so_far = Window.partitionBy("target").orderBy("slice")
@@ -113,10 +114,10 @@ def propagate(linked: DataFrame, quota: int, shards: int, rounds: int) -> DataFr
         if not accepted:
             break
         last = {row["target"]: row["last_slice"] for row in accepted}
-        slice_of = _lookup([last.get(shard, -1) for shard in range(shards)], F.col("target"))
-        linked = proposed.withColumn(
-            "shard", F.when(F.col("slice") <= slice_of, F.col("target")).otherwise(F.col("shard"))
-        ).drop("target", "slice")
+        moves_to = F.coalesce("target", "shard")
+        last_slice = _lookup([last.get(shard, -1) for shard in range(shards)], moves_to)
+        linked = proposed.withColumn("shard", F.when(F.col("slice") <= last_slice, moves_to).otherwise(F.col("shard")))
+        linked = linked.drop("target", "slice")
     return linked
 
 

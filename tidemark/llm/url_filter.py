@@ -143,19 +143,22 @@ def scored(urls: DataFrame, accepted: MarkovModel, rejected: MarkovModel, key: s
 
 def calibrate(held_out: DataFrame) -> float:
     """The threshold with the best mean of both classes' shares judged rightly,
-    from (key = label, score) rows; the lowest such where several are."""
+    from (label, score) rows; the middle one where several are as good."""
     step = F.floor(F.col("score") / STEP).cast("int")
     rows = held_out.groupBy("label", step.alias("step")).count().collect()  # bounded: scores are a few nats at most
+    if not rows:
+        return 0.0
     seen = {label: Counter({row["step"]: row["count"] for row in rows if row["label"] == label}) for label in ("allow", "block")}
-    totals = {label: sum(each.values()) or 1 for label, each in seen.items()}
-    steps = sorted({row["step"] for row in rows})
-    best, at = -1.0, 0.0
-    for cut in [*steps, *([steps[-1] + 1] if steps else [])]:
-        good = sum(n for step, n in seen["allow"].items() if step >= cut) / totals["allow"]
-        bad = sum(n for step, n in seen["block"].items() if step < cut) / totals["block"]
-        if good + bad > best:
-            best, at = good + bad, cut * STEP
-    return at
+    totals = {label: max(1, sum(each.values())) for label, each in seen.items()}
+    lowest, highest = min(row["step"] for row in rows), max(row["step"] for row in rows)
+    good, bad, rated = totals["allow"], 0, []
+    for cut in range(lowest, highest + 2):  # what is below the cut is blocked
+        rated.append((good * totals["block"] + bad * totals["allow"], cut))
+        good -= seen["allow"][cut]
+        bad += seen["block"][cut]
+    best = max(rate for rate, _ in rated)
+    cuts = [cut for rate, cut in rated if rate == best]
+    return cuts[len(cuts) // 2] * STEP
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], key: str = "page_id", url: str = "url") -> DataFrame:
