@@ -559,7 +559,7 @@ ORACLES = {
         """SELECT count(*) AS recent_alerts, count(*) FILTER (status = 'Open') AS open_in_feed,
                   count(*) FILTER (severity = 'High') AS high_severity,
                   count(*) FILTER (alert_type = 'Expansion Opportunity') AS expansion_signals
-           FROM (SELECT * FROM seed_alerts ORDER BY created_at DESC, alert_id DESC LIMIT 20)"""
+           FROM seed_alerts"""
     ),
     "acknowledge_alerts": _sql(
         """SELECT * EXCLUDE (hit) REPLACE (CASE WHEN hit THEN 'Acknowledged' ELSE status END AS status,
@@ -602,15 +602,15 @@ ORACLES = {
     "health_watchlist": _sql(f"SELECT {_HEALTH_COLUMNS} FROM health ORDER BY health_score, customer_id LIMIT 10"),
     "product_usage_feed": _sql("SELECT * FROM usage_feed"),
     "usage_by_feature": _sql(
-        """SELECT feature, CAST(sum(total_events) AS BIGINT) AS total_events FROM usage_feed
+        """SELECT feature, CAST(sum(total_events) AS BIGINT) AS total_events FROM usage_table
            GROUP BY feature ORDER BY 2 DESC, 1 LIMIT 6"""
     ),
     "usage_trend": _sql(
-        """SELECT usage_date, CAST(sum(total_events) AS BIGINT) AS total_events FROM usage_feed
-           GROUP BY usage_date ORDER BY usage_date LIMIT 8"""
+        """SELECT usage_date, CAST(sum(total_events) AS BIGINT) AS total_events FROM usage_table
+           GROUP BY usage_date ORDER BY usage_date DESC LIMIT 8"""
     ),
     "usage_feed_totals": _sql(
-        """SELECT count(DISTINCT feature) AS features_observed, CAST(sum(total_events) AS BIGINT) AS recent_events FROM usage_feed"""
+        """SELECT count(DISTINCT feature) AS features_observed, CAST(sum(total_events) AS BIGINT) AS recent_events FROM usage_table"""
     ),
     "live_event_feed": _sql("SELECT * EXCLUDE (sent_at) FROM live ORDER BY received_at DESC, event_id DESC LIMIT 20"),
     "forecast_listing": _sql("SELECT * FROM forecasts", **_ALL),
@@ -662,7 +662,6 @@ ORACLES = {
     ),
     "risk_tier": _sql("SELECT * FROM tiers"),
     "churn_risk": _sql("SELECT * FROM tiers ORDER BY churn_probability DESC, customer_id LIMIT 10"),
-    "churn_risk_prefilter": _sql("SELECT * FROM tiers ORDER BY customer_id LIMIT 10"),
     "risk_summary": _sql(
         """SELECT count(*) AS total_customers, count(*) FILTER (risk_level = 'High') AS high_risk_customers,
                   count(*) FILTER (risk_level = 'Medium') AS medium_risk_customers,

@@ -83,6 +83,4 @@ def test_tiers_and_top(spark):
     assert [row[1:] for row in tiers] == [
         (0.7, "High"), (0.7, "Medium"), (0.4, "Medium"), (0.4, "Low"), (0.9, "High"), (0.7, "Medium")]
     assert [row["customer_id"] for row in churn.churn_risk(scored, 4).collect()] == [5, 1, 2, 6]
-    assert [row["customer_id"] for row in churn.churn_risk(scored, 3, prefilter=True).collect()] == [1, 2, 3]
     assert rows(churn.risk_summary(scored)) == [(6, 2, 3, 1)]
-    assert rows(churn.risk_summary(scored, first=3)) == [(3, 1, 2, 0)]

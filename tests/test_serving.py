@@ -46,7 +46,7 @@ def test_usage_feeds(spark):
     assert feed.count() == 40
     assert rows(serving.usage_by_feature(feed), "feature", "total_events") == [("Unknown", 150), ("a", 75), ("b", 75)]
     trend = [row["usage_date"].day for row in serving.usage_trend(feed).collect()]
-    assert trend == [10, 9, 8, 7, 6, 5, 4, 3]  # the feed's oldest eight dates
+    assert trend == [12, 11, 10, 9, 8, 7, 6, 5]  # the latest eight dates
     assert rows(serving.usage_feed_totals(feed)) == [(3, 300)]
 
 

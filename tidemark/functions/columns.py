@@ -39,9 +39,9 @@ def banded(value: Column, bands, floor: int, *, at_least: bool) -> Column:
     return score.otherwise(floor)
 
 
-def micros(ts: Column) -> Column:
-    """Microseconds since the epoch; wall-clock times read as UTC sessions do."""
-    return F.unix_micros(ts.cast("timestamp"))
+def micros_between(start: Column, end: Column) -> Column:
+    """Microseconds from start to end on the wall clock, whatever the session's zone."""
+    return F.timestamp_diff("MICROSECOND", start.cast("timestamp_ntz"), end.cast("timestamp_ntz"))
 
 
 def integer_quotient(dividend: Column, divisor) -> Column:
@@ -52,7 +52,7 @@ def integer_quotient(dividend: Column, divisor) -> Column:
 
 def hundredth_hours(start: Column, end: Column) -> Column:
     """Elapsed hundredths of an hour, halves rounded away from zero, exact."""
-    gap = micros(end) - micros(start)
+    gap = micros_between(start, end)
     whole = integer_quotient(F.abs(gap) + MICROS_PER_HUNDREDTH_HOUR // 2, MICROS_PER_HUNDREDTH_HOUR)
     return F.signum(gap).cast("bigint") * whole
 
@@ -76,7 +76,7 @@ def percent(part: Column, whole: Column) -> Column:
 
 def whole_days(start: Column, end: Column) -> Column:
     """Full days from start to end, rounded toward minus infinity."""
-    gap = micros(end) - micros(start)
+    gap = micros_between(start, end)
     return integer_quotient(gap - F.pmod(gap, F.lit(MICROS_PER_DAY)), MICROS_PER_DAY)
 
 

@@ -10,8 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MOST_HOT_KEYS = 1000  # bounds the broadcast list of hot keys
-TRACKED_KEYS = 10_000  # size of the frequent-items sketch
 PIECES_PER_PARTITION = 4
 
 
@@ -23,29 +21,31 @@ def _pieces(df: DataFrame) -> int:
 def hot_keys(df: DataFrame, key: str) -> DataFrame:
     """(key, salts) for keys holding more than one piece of the rows.
 
-    One pass over the key column with a frequent-items sketch.  The result has
-    at most ``MOST_HOT_KEYS`` rows whatever the data, so it may be broadcast;
-    it only steers where rows go, so its counts need not be exact.
+    Keys are counted where their rows lie and added up by key, so no task sees
+    more than its keys' counts.  A key listed has more than a piece of all rows;
+    hence there are fewer keys than pieces, whatever the data, and the list may
+    be broadcast.
     """
-    sketch = df.filter(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, {MOST_HOT_KEYS}, {TRACKED_KEYS})").alias("top"),
-        F.count(F.lit(1)).alias("total"),
-    )
-    salts = F.ceil(F.col("count") * _pieces(df) / F.col("total")).cast("int")
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.sum("_rows").alias("_total"), F.lit(0).alias("_all"))  # one row
+    salts = F.ceil(F.col("_rows") * _pieces(df) / F.col("_total")).cast("int")
     return (
-        sketch.select(F.inline("top"), "total")
-        .select(F.col("item").alias(key), salts.alias("_salts"))
+        counts.withColumn("_all", F.lit(0))
+        .join(F.broadcast(total), "_all")
+        .select(key, salts.alias("_salts"))
         .filter(F.col("_salts") > 1)
     )
 
 
-def salt_rows(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
+def salt_rows(df: DataFrame, hot: DataFrame, key: str, spread_by: tuple[str, ...] = ()) -> DataFrame:
     """Add ``_salt``: 0 for ordinary keys, spread evenly for hot and NULL keys.
 
-    The salt hashes the row and the partition it sits in.  Copies of one row
-    therefore spread too, and a retried task assigns the same salts again.
+    The salt hashes the row (its ``spread_by`` columns, if named: others need not
+    be read) and the partition it sits in.  Copies of one row therefore spread
+    too, and a retried task assigns the same salts again.  Filters do not move
+    below the salt; apply them before the join.
     """
-    spread = F.xxhash64(*[F.col(name) for name in df.columns], F.spark_partition_id())
+    spread = F.xxhash64(*[F.col(name) for name in spread_by or df.columns], F.spark_partition_id())
 
     def one_of(n: Column) -> Column:
         return F.pmod(spread, n.cast("bigint")).cast("int")
@@ -58,7 +58,9 @@ def salt_rows(df: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_salts")
 
 
-def salted_join(large: DataFrame, keyed: DataFrame, key: str, how: str = "left") -> DataFrame:
+def salted_join(
+    large: DataFrame, keyed: DataFrame, key: str, how: str = "left", spread_by: tuple[str, ...] = ()
+) -> DataFrame:
     """``large`` joined to ``keyed`` on ``key``, with hot keys spread out.
 
     Rows of a hot key go to as many places as their share calls for, and the
@@ -70,4 +72,4 @@ def salted_join(large: DataFrame, keyed: DataFrame, key: str, how: str = "left")
     hot = hot_keys(large, key)
     places = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
     copies = keyed.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(places)).drop("_salts")
-    return salt_rows(large, hot, key).join(copies, [key, "_salt"], how).drop("_salt")
+    return salt_rows(large, hot, key, spread_by).join(copies, [key, "_salt"], how).drop("_salt")

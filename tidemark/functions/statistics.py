@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Distinct scores that one task orders at most, about.
+SCORES_PER_SLICE = 500_000
+
+
 def _long(df: DataFrame, columns) -> DataFrame:
     """(feature, value) rows for the given numeric columns, NULLs dropped."""
     pairs = F.array(
@@ -95,14 +99,17 @@ def most_frequent(df: DataFrame, columns) -> dict[str, str | None]:
     return {name: found.get(name) for name in columns}
 
 
-def rank_auc(scored: DataFrame, label: str, score: str, slices: int = 256) -> DataFrame:
+def rank_auc(scored: DataFrame, label: str, score: str, slices: int | None = None) -> DataFrame:
     """One row ``roc_auc``: the chance that a positive outranks a negative,
     ties counting half; NULL when a class is missing.
 
     Equal scores collapse first.  The distinct scores are cut into slices of
     about equal size; a running count inside each slice plus the negatives of
-    the slices below gives the rank, so no task orders more than one slice.
+    the slices below gives the rank, so no task orders more than one slice.  Their
+    number follows the rows unless it is given.
     """
+    if slices is None:
+        slices = max(256, -(-scored.count() // SCORES_PER_SLICE))
     by_score = (
         scored.filter(F.col(label).isNotNull())
         .groupBy(F.col(score).cast("double").alias("score"))

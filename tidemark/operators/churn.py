@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import micros, whole_days
+from tidemark.functions.columns import micros_between, whole_days
 from tidemark.functions.fixed_values import (
     CATEGORICAL_FEATURES,
     CHURN_REFERENCE_DATE,
@@ -59,7 +59,7 @@ def churn_support_features(support: DataFrame) -> DataFrame:
 
     Durations are summed as wide decimals: exact, and safe from overflow.
     """
-    took = (micros(F.col("resolved_at")) - micros(F.col("created_at"))).cast("decimal(20,0)")
+    took = micros_between(F.col("created_at"), F.col("resolved_at")).cast("decimal(20,0)")
     return (
         support.filter(F.col("resolved_at").isNotNull())
         .groupBy("account_id")
@@ -226,21 +226,13 @@ def risk_tier(scored: DataFrame) -> DataFrame:
     )
 
 
-def churn_risk(scored: DataFrame, n: int = 10, prefilter: bool = False) -> DataFrame:
-    """The ``n`` riskiest customers.
-
-    ``prefilter`` instead takes the ``n`` lowest account ids and ranks those,
-    which is what a caller of the original feed received.
-    """
-    if prefilter:
-        scored = scored.orderBy("account_id").limit(n)
+def churn_risk(scored: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` riskiest of all customers."""
     return risk_tier(scored).orderBy(F.col("churn_probability").desc(), "customer_id").limit(n)
 
 
-def risk_summary(scored: DataFrame, first: int | None = None) -> DataFrame:
-    """Customers per tier; ``first`` restricts to the lowest account ids."""
-    if first is not None:
-        scored = scored.orderBy("account_id").limit(first)
+def risk_summary(scored: DataFrame) -> DataFrame:
+    """Customers per tier, over all of them."""
     level = F.col("risk_level")
     return risk_tier(scored).agg(
         F.count(F.lit(1)).alias("total_customers"),

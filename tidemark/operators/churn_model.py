@@ -20,7 +20,7 @@ from tidemark.functions.fixed_values import CATEGORICAL_FEATURES, NUMERIC_FEATUR
 from tidemark.functions.statistics import exact_medians, most_frequent, rank_auc
 from tidemark.session import cut_lineage
 
-HASH_SLICES = 4096  # three hex digits
+ROWS_PER_SLICE = 100_000
 
 
 # ---- split --------------------------------------------------------------------
@@ -35,14 +35,18 @@ def stratified_split(
     train.  The test part holds ceil(n * share) rows; labels get their floor
     of the training rows, and leftovers go to the largest remainders.
 
-    A label may hold most rows, so its order is cut into slices of the hash:
-    slice sizes give each row's position without sorting a label in one task.
+    A label may hold most rows, so its order is cut into slices of the hash, as
+    many as the rows call for (counting them runs a job): slice sizes give each
+    row's position without sorting a label in one task.
     """
+    rows, digits = df.count(), 2
+    while rows > ROWS_PER_SLICE * 16**digits:
+        digits += 1
     order_key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
     keyed = df.filter(F.col(label).isNotNull()).withColumns(
-        {"_order": order_key, "_slice": F.substring(order_key, 1, 3)}
+        {"_order": order_key, "_slice": F.substring(order_key, 1, digits)}
     )
-    slices = keyed.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_rows"))  # <= 4096 per label
+    slices = keyed.groupBy(label, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
     by_label = Window.partitionBy(label)
     slices = slices.withColumns(
         {

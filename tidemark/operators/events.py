@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.joins import salted_join
 
+#: What tells one user's events apart; the only column their salt reads.
+SPREAD_BY = ("event_timestamp",)
+
 
 def flag_valid_events(events: DataFrame, users: DataFrame) -> DataFrame:
     """Add ``is_valid_event``: not before its user was created.
@@ -18,12 +21,26 @@ def flag_valid_events(events: DataFrame, users: DataFrame) -> DataFrame:
     created = users.groupBy("user_id").agg(F.min("created_at").alias("user_created_at"))
     on_time = F.coalesce(F.col("event_timestamp") >= F.col("user_created_at"), F.lit(False))
     return (
-        salted_join(events, created, "user_id")
+        salted_join(events, created, "user_id", spread_by=SPREAD_BY)
         .withColumn("is_valid_event", on_time)
         .select(*events.columns, "is_valid_event")
     )
 
 
+def flag_and_enrich(events: DataFrame, users: DataFrame) -> DataFrame:
+    """Add ``customer_id`` and ``is_valid_event`` from one look at each event's user."""
+    known = users.groupBy("user_id").agg(
+        F.min("created_at").alias("user_created_at"), F.min("account_id").alias("customer_id")
+    )
+    on_time = F.coalesce(F.col("event_timestamp") >= F.col("user_created_at"), F.lit(False))
+    plain = events.drop("customer_id", "is_valid_event")
+    return (
+        salted_join(plain, known, "user_id", spread_by=SPREAD_BY)
+        .withColumn("is_valid_event", on_time)
+        .select(*plain.columns, "customer_id", "is_valid_event")
+    )
+
+
 def account_of_users(users: DataFrame) -> DataFrame:
     """(user_id, customer_id), one row per user."""
     return users.groupBy("user_id").agg(F.min("account_id").alias("customer_id"))
@@ -37,5 +54,5 @@ def enrich_events_with_account(events: DataFrame, users: DataFrame) -> DataFrame
     """
     events = events.drop("customer_id")
     owners = account_of_users(users).withColumn("user_id", F.col("user_id").cast(events.schema["user_id"].dataType))
-    joined = events.join(owners, "user_id", "left") if events.isStreaming else salted_join(events, owners, "user_id")
+    joined = events.join(owners, "user_id", "left") if events.isStreaming else salted_join(events, owners, "user_id", spread_by=SPREAD_BY)
     return joined.select(*events.columns, "customer_id")

@@ -18,13 +18,16 @@ from tidemark.functions.fixed_values import (
     MINIMUM_MONTHS,
 )
 
+UNSEGMENTED = "all"
+
 
 def monthly_paid_revenue(fact_billing: DataFrame, segment: str | None = None) -> DataFrame:
     """Paid revenue per month with a running ``time_index``.
 
-    Months without paid invoices are not filled in; the index skips them.
+    Months without paid invoices are not filled in; the index skips them.  Paid
+    invoices without a date are in no month: see ``undated_paid_revenue``.
     """
-    name = F.lit("all") if segment is None else F.col(segment)
+    name = F.lit(UNSEGMENTED) if segment is None else F.col(segment)
     by_month = Window.partitionBy("segment").orderBy("revenue_month")
     return (
         fact_billing.filter((F.col("status") == "Paid") & F.col("date_key").isNotNull())
@@ -52,7 +55,8 @@ def segmented_paid_revenue(fact_billing: DataFrame, customers: DataFrame, segmen
 def _held_out(monthly: DataFrame) -> DataFrame:
     """Months with the holdout model's prediction beside them.
 
-    Raises, when run, for a series shorter than the minimum.
+    Segments shorter than the minimum are left out (``short_series`` names them);
+    an unsegmented series that short raises when run.
     """
     series = Window.partitionBy("segment")
     months = F.count(F.lit(1)).over(series)
@@ -60,9 +64,11 @@ def _held_out(monthly: DataFrame) -> DataFrame:
     x = F.col("time_index").cast("double")
     y = F.col("monthly_revenue").cast("double")
     train_y = F.when(F.col("time_index") < F.col("months") - HOLDOUT_MONTHS, y)
+    too_short = F.col("months") < MINIMUM_MONTHS
     return (
         monthly.withColumn("months", months)
-        .withColumn("months", F.when(F.col("months") < MINIMUM_MONTHS, short.cast("bigint")).otherwise(F.col("months")))
+        .filter(~too_short | (F.col("segment") == UNSEGMENTED))
+        .withColumn("months", F.when(too_short, short.cast("bigint")).otherwise(F.col("months")))
         .withColumn("slope", F.regr_slope(train_y, x).over(series))
         .withColumn("intercept", F.regr_intercept(train_y, x).over(series))
         .withColumn("held_out", F.col("time_index") >= F.col("months") - HOLDOUT_MONTHS)
@@ -71,6 +77,21 @@ def _held_out(monthly: DataFrame) -> DataFrame:
     )
 
 
+def short_series(monthly: DataFrame) -> DataFrame:
+    """(segment, months, monthly_revenue) of segments too short for a forecast."""
+    return (
+        monthly.groupBy("segment")
+        .agg(F.count(F.lit(1)).alias("months"), F.sum("monthly_revenue").alias("monthly_revenue"))
+        .filter(F.col("months") < MINIMUM_MONTHS)
+    )
+
+
+def undated_paid_revenue(fact_billing: DataFrame) -> DataFrame:
+    """One row: paid invoices that no month can count, and their amount."""
+    undated = fact_billing.filter((F.col("status") == "Paid") & F.col("date_key").isNull())
+    return undated.agg(F.count(F.lit(1)).alias("invoices"), F.sum("amount").alias("amount"))
+
+
 def _error() -> Column:
     return F.abs(F.col("actual") - F.col("predicted"))
 

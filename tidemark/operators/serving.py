@@ -77,9 +77,9 @@ def usage_by_feature(feed: DataFrame, n: int = 6) -> DataFrame:
 
 
 def usage_trend(feed: DataFrame, n: int = 8) -> DataFrame:
-    """Events per date for the feed's ``n`` oldest dates, newest first."""
+    """Events per date for the latest ``n`` dates, newest first."""
     per_date = feed.groupBy("usage_date").agg(F.coalesce(F.sum("total_events"), F.lit(0)).alias("total_events"))
-    return per_date.orderBy("usage_date").limit(n).orderBy(F.col("usage_date").desc())
+    return per_date.orderBy(F.col("usage_date").desc()).limit(n)
 
 
 def usage_feed_totals(feed: DataFrame) -> DataFrame:

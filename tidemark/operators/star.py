@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import hundredth_hours
-from tidemark.operators.events import enrich_events_with_account
+from tidemark.operators.events import enrich_events_with_account, flag_and_enrich
 
 
 def dim_customer(accounts: DataFrame) -> DataFrame:
@@ -44,8 +44,11 @@ def dim_date(*facts: DataFrame) -> DataFrame:
 
 
 def fact_usage(events: DataFrame, users: DataFrame) -> DataFrame:
-    """Events with the owning customer (NULL for unknown users)."""
-    return enrich_events_with_account(events, users).select(
+    """Events with the owning customer (NULL for unknown users).  Events that carry
+    no validity get it from the same look at their users."""
+    flagged = "is_valid_event" in events.columns
+    enriched = enrich_events_with_account(events, users) if flagged else flag_and_enrich(events, users)
+    return enriched.select(
         "event_id",
         "user_id",
         "customer_id",

@@ -287,7 +287,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "star_dim_user": lambda t: star.dim_user(t.users()),
     "star_dim_plan": lambda t: star.dim_plan(t.dim_plan()),
     "star_dim_date": lambda t: t.dates(),
-    "star_fact_usage": lambda t: star.fact_usage(t.product_events(), t.users()),
+    "star_fact_usage": lambda t: star.fact_usage(t.unflagged_events(), t.users()),
     "star_fact_billing": lambda t: t.billing(),
     "star_fact_subscription": lambda t: star.fact_subscription(t.subscriptions(), t.dim_plan()),
     "star_fact_support": lambda t: star.fact_support(t.support()),
@@ -336,7 +336,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     ),
     "open_alert_summary": lambda t: alerts.open_alert_summary(t.alerts()),
     "alert_feed": lambda t: alerts.alert_feed(t.alerts()),
-    "alert_feed_counts": lambda t: alerts.alert_feed_counts(alerts.alert_feed(t.alerts())),
+    "alert_feed_counts": lambda t: alerts.alert_feed_counts(t.alerts()),
     "acknowledge_alerts": lambda t: _acknowledged(t)[0],
     "acknowledge_report": lambda t: _acknowledged(t)[1],
     "customer_actions": lambda t: alerts.customer_actions(t.alerts()),
@@ -347,9 +347,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "customer_health_lookup": _lookup,
     "health_watchlist": lambda t: serving.health_watchlist(t.health()),
     "product_usage_feed": lambda t: serving.product_usage_feed(t.usage()),
-    "usage_by_feature": lambda t: serving.usage_by_feature(serving.product_usage_feed(t.usage())),
-    "usage_trend": lambda t: serving.usage_trend(serving.product_usage_feed(t.usage())),
-    "usage_feed_totals": lambda t: serving.usage_feed_totals(serving.product_usage_feed(t.usage())),
+    "usage_by_feature": lambda t: serving.usage_by_feature(t.usage()),
+    "usage_trend": lambda t: serving.usage_trend(t.usage()),
+    "usage_feed_totals": lambda t: serving.usage_feed_totals(t.usage()),
     "live_event_feed": lambda t: serving.live_event_feed(t.live()),
     "forecast_listing": lambda t: serving.forecast_listing(_forecast(t)),
     # churn
@@ -376,7 +376,6 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "classification_report": lambda t: churn_model.classification_report(t.ratio_scores()),
     "risk_tier": lambda t: churn.risk_tier(t.ratio_scores()),
     "churn_risk": lambda t: churn.churn_risk(t.ratio_scores()),
-    "churn_risk_prefilter": lambda t: churn.churn_risk(t.ratio_scores(), prefilter=True),
     "risk_summary": lambda t: churn.risk_summary(t.ratio_scores()),
     # forecast
     "monthly_paid_revenue": lambda t: t.monthly(),

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
-    # NTZ wall-clock times are differenced through TIMESTAMP, so pin the zone.
+    # Instants of live messages are shown as wall-clock times of one zone.
     "spark.sql.session.timeZone": "UTC",
     # Shuffle partitions are merged, joins re-planned and oversized join
     # partitions split from measured sizes.  "force" also splits when the
@@ -34,16 +33,10 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as the cluster names it.
-
-    Only a local session may fall back to a temporary folder of its own.
-    """
+    """Folder every executor can reach: the checkpoint folder the cluster names,
+    else the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="tidemark-")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
