@@ -28,8 +28,10 @@ import regex
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer, models, pre_tokenizers
 
+from tidemark.llm.common import lean
+
 #: Pieces a worker remembers before it starts anew; a matter of memory only.
-REMEMBERED_PIECES = 400_000
+REMEMBERED_PIECES = 250_000
 
 
 def byte_characters() -> list[str]:
@@ -107,7 +109,7 @@ def _mapped(df: DataFrame, columns: list[str], schema: str, rank_file: str, patt
         for batch in batches:
             yield rows(tool, batch)
 
-    return df.select(*columns).mapInArrow(run, schema)
+    return df.select(*columns).mapInArrow(lean(run), schema)
 
 
 def encode(docs: DataFrame, rank_file: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +33,36 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shuffle_parts(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Rows of a batch that Python works on at once.
+BATCH_ROWS = 4000
+
+
+def lean(function: Callable) -> Callable:
+    """``function`` over Arrow batches, given smaller ones; after the last, freed
+    memory goes back to the system, as the idle worker stays beside other stages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batch.slice(at, BATCH_ROWS) for batch in batches for at in range(0, batch.num_rows, BATCH_ROWS))
+        _give_back()
+
+    return run
+
+
+def lean_group(function: Callable) -> Callable:
+    """``function`` of a group's table, giving freed memory back after each group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        result = function(table)
+        _give_back()
+        return result
+
+    return run
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def lower_ascii(text: Column) -> Column:

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import lean, stored
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,7 +44,7 @@ def components(links: DataFrame) -> DataFrame:
     pre-aggregated minima and joins, never a collected list of neighbours.
     """
     links = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b")
-    links = stored(links.mapInArrow(_forest, "a bigint, b bigint"))
+    links = stored(links.mapInArrow(lean(_forest), "a bigint, b bigint"))
     roots = None
     while not links.isEmpty():
         hooks = links.groupBy(F.col("a").alias("vertex")).agg(F.min("b").alias("root"))
@@ -75,7 +75,7 @@ def components(links: DataFrame) -> DataFrame:
             .where("a != b")
             .distinct()
         )
-        links = stored(links.mapInArrow(_forest, "a bigint, b bigint"))
+        links = stored(links.mapInArrow(lean(_forest), "a bigint, b bigint"))
     if roots is None:
         return links.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
     every = roots.select("vertex", "root").unionByName(roots.select(F.col("root").alias("vertex"), "root"))

@@ -38,6 +38,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import lean
+
 #: BM25's usual parameters.
 K1, B = 1.2, 0.75
 LEAST_SCORE = 0.5
@@ -225,7 +227,7 @@ def with_leaks(
                 both = pa.array([(old or []) + new for old, new in zip(before, found)], _LEAK)
                 yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in names), both], names=[*names, column])
 
-        result = result.mapInArrow(run, schema)
+        result = result.mapInArrow(lean(run), schema)
     return result
 
 

@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.blocks import SubstringHashes, range_blocks, run_starts, unpack
-from tidemark.llm.common import stored
+from tidemark.llm.common import lean, lean_group, stored
 from tidemark.llm.components import components
 
 FREQUENT = 24
@@ -117,7 +117,7 @@ def frequent_grams(texts: DataFrame, words_in_gram: int, ranges: int) -> tuple[n
         often = counts >= FREQUENT
         return pa.table({"slot": pa.array(slots[often].astype(np.int64)), "documents": pa.array(counts[often])})
 
-    found = stored(texts.mapInArrow(count, _BLOCKS).groupBy("range").applyInArrow(add, "slot bigint, documents bigint"))
+    found = stored(texts.mapInArrow(lean(count), _BLOCKS).groupBy("range").applyInArrow(lean_group(add), "slot bigint, documents bigint"))
     tier = F.floor(F.log2("documents")).cast("int")
     by_tier = {row[0]: row[1] for row in found.groupBy(tier.alias("tier")).count().collect()}
     least, rows = 99, 0
@@ -180,7 +180,7 @@ def prefixes(
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"doc_id {kind}, text_hash bigint, n_shingles bigint, vertex bigint, rare bigint, prefix binary"
-    return docs.select(key, text, F.xxhash64(text).alias("text_hash")).mapInArrow(run, schema)
+    return docs.select(key, text, F.xxhash64(text).alias("text_hash")).mapInArrow(lean(run), schema)
 
 
 def _sets(batch: pa.RecordBatch) -> Iterator[tuple[int, int, int, np.ndarray]]:
@@ -231,8 +231,8 @@ def rare_node_pairs(nodes: DataFrame, percent: int, ranges: int) -> DataFrame:
         pairs = np.unique(np.stack([np.concatenate(left), np.concatenate(right)]), axis=1) if left else np.empty((2, 0), np.int64)
         return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
 
-    blocks = nodes.select("vertex", "n_shingles", "rare", "prefix").mapInArrow(deal, _BLOCKS)
-    return blocks.groupBy("range").applyInArrow(meet, "a bigint, b bigint").distinct()
+    blocks = nodes.select("vertex", "n_shingles", "rare", "prefix").mapInArrow(lean(deal), _BLOCKS)
+    return blocks.groupBy("range").applyInArrow(lean_group(meet), "a bigint, b bigint").distinct()
 
 
 def frequent_nodes(nodes: DataFrame) -> DataFrame:
@@ -259,7 +259,7 @@ def frequent_nodes(nodes: DataFrame) -> DataFrame:
             )
 
     rows = nodes.select("vertex", "n_shingles", "rare", "prefix").mapInArrow(
-        run, "slot bigint, vertex bigint, size bigint, star boolean"
+        lean(run), "slot bigint, vertex bigint, size bigint, star boolean"
     )
     return rows.distinct()
 
@@ -362,7 +362,7 @@ def family_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
         F.lit(False).alias("role"), "vertex", "root",
     )
     work = as_outside.unionByName(as_inside).join(sets, "vertex")
-    return work.groupBy("family", "outer_block", "inner_block").applyInArrow(compare, "a bigint, b bigint")
+    return work.groupBy("family", "outer_block", "inner_block").applyInArrow(lean_group(compare), "a bigint, b bigint")
 
 
 def linked_in_tree(own: np.ndarray, others: list[np.ndarray], percent: int) -> list[bool]:
@@ -419,7 +419,7 @@ def ordered_sets(
 
     needed = vertices.distinct().join(first, "vertex").select("first_id").distinct()
     texts = docs.join(needed, docs[key].eqNullSafe(needed["first_id"]), "left_semi").select(text)
-    return stored(texts.mapInArrow(make, "vertex bigint, grams binary").groupBy("vertex").agg(F.first("grams").alias("grams")))
+    return stored(texts.mapInArrow(lean(make), "vertex bigint, grams binary").groupBy("vertex").agg(F.first("grams").alias("grams")))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -443,7 +443,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     of_b = sets.select(F.col("vertex").alias("b"), F.col("grams").alias("others"))
     of_a = sets.select(F.col("vertex").alias("a"), F.col("grams").alias("own"))
     met = pairs.join(of_b, "b").join(of_a, "a").select("a", "b", "own", "others")
-    return stored(met.mapInArrow(compare, "a bigint, b bigint"))
+    return stored(met.mapInArrow(lean(compare), "a bigint, b bigint"))
 
 
 def _rooted(docs: DataFrame, words_in_gram: int, percent: int) -> tuple[DataFrame, DataFrame]:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.blocks import SubstringHashes, pack, range_cuts, run_starts, spread, unpack
-from tidemark.llm.common import stored
+from tidemark.llm.common import lean, lean_group, stored
 
 LENGTH = 200
 #: Bytes hashed for a trigger, and positions a string's trigger is sought at.
@@ -231,7 +231,7 @@ def met_phrases(texts: DataFrame, ranges: int) -> DataFrame:
                 owner = np.repeat(np.arange(len(found)), [len(each[0]) for each in found])
                 yield _dealt(key, own, owner, first, last, documents, ranges)
 
-    return texts.mapInArrow(parse, _DEALT).groupBy("range").applyInArrow(_met, _FOUND)
+    return texts.mapInArrow(lean(parse), _DEALT).groupBy("range").applyInArrow(lean_group(_met), _FOUND)
 
 
 def met_strings(zipped: DataFrame, ranges: int) -> DataFrame:
@@ -253,7 +253,7 @@ def met_strings(zipped: DataFrame, ranges: int) -> DataFrame:
                 every = np.concatenate(hashes)
                 yield _dealt(every, np.zeros_like(every), owner, at, at, documents, ranges)
 
-    return zipped.mapInArrow(cut, _DEALT).groupBy("range").applyInArrow(_met, _FOUND)
+    return zipped.mapInArrow(lean(cut), _DEALT).groupBy("range").applyInArrow(lean_group(_met), _FOUND)
 
 
 def _bounds(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -280,7 +280,7 @@ def _zipped(docs: DataFrame, text: str) -> DataFrame:
             )
 
     fields = [docs.schema[name] for name in kept]
-    return docs.mapInArrow(run, T.StructType([*fields, T.StructField(_ZIPPED, T.BinaryType()), T.StructField(f"{_ZIPPED}_size", T.LongType())]))
+    return docs.mapInArrow(lean(run), T.StructType([*fields, T.StructField(_ZIPPED, T.BinaryType()), T.StructField(f"{_ZIPPED}_size", T.LongType())]))
 
 
 def _listed(found: DataFrame) -> DataFrame:
@@ -329,7 +329,7 @@ def span_digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     repeats = with_repeats(docs.select(key, text), key, text).select(key, _ZIPPED, f"{_ZIPPED}_size", "_runs")
     kind = docs.schema[key].dataType.simpleString()
-    return repeats.mapInArrow(run, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return repeats.mapInArrow(lean(run), f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
 def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -351,4 +351,4 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
             columns = [pa.array(texts, pa.string()) if name == text else batch.column(name) for name in names]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return with_repeats(docs, key, text).mapInArrow(run, T.StructType(docs.schema.fields[:]))
+    return with_repeats(docs, key, text).mapInArrow(lean(run), T.StructType(docs.schema.fields[:]))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii
+from tidemark.llm.common import lean, lower_ascii
 
 ORDER = 5
 CONTEXTS_PER_ORDER = 100_000
@@ -76,7 +76,7 @@ def ngram_counts(urls: DataFrame, label: str = "label", text: str = "address") -
                 names=["label", "context", "next", "seen"],
             )
 
-    partial = urls.select(F.col(label), F.col(text)).mapInArrow(run, "label string, context string, next string, seen bigint")
+    partial = urls.select(F.col(label), F.col(text)).mapInArrow(lean(run), "label string, context string, next string, seen bigint")
     return partial.groupBy("label", "context", "next").agg(F.sum("seen").alias("seen"))
 
 
@@ -138,7 +138,7 @@ def scored(urls: DataFrame, accepted: MarkovModel, rejected: MarkovModel, key: s
             known = {"": 0.0}
 
     kind = urls.schema[key].dataType.simpleString()
-    return urls.select(key, text).mapInArrow(run, f"`{key}` {kind}, address string, score double")
+    return urls.select(key, text).mapInArrow(lean(run), f"`{key}` {kind}, address string, score double")
 
 
 def calibrate(held_out: DataFrame) -> float:
