@@ -116,3 +116,10 @@ def test_actions(spark):
     stored = spark.createDataFrame([(41,)], "action_id bigint")
     numbered = rules.number_rows(rules.customer_actions(alerts).coalesce(1), stored, "action_id", F.lit(T0))
     assert rows(numbered, "action_id", "created_at") == [(42, T0), (43, T0), (44, T0)]
+
+
+def test_ids_have_no_gaps(spark):
+    existing = spark.createDataFrame([(7,)], "alert_id bigint")
+    new = spark.range(50).repartition(9).select(F.col("id").alias("customer_id"))
+    numbered = rules.number_rows(new, existing, "alert_id", F.lit(T0))
+    assert sorted(row["alert_id"] for row in numbered.collect()) == list(range(8, 58))

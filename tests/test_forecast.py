@@ -77,3 +77,15 @@ def test_upsert_twice_is_once(spark):
     assert rows(once) == rows(forecast.upsert(once, new, "forecast_month"))
     assert [row[0] for row in rows(once, "forecast_month")] == [date(2026, m, 1) for m in (1, 2, 3, 4)]
     assert rows(once, "forecast_month", "forecast_revenue")[0][1] == 1.0
+
+
+def test_short_segments_are_named_and_left_out(spark):
+    both = billing(spark, MONTHS, "N").unionByName(billing(spark, MONTHS[:1], "S"))
+    monthly = forecast.monthly_paid_revenue(both, "region")
+    assert {row["segment"] for row in forecast.revenue_forecast(monthly, at()).collect()} == {"N"}
+    assert rows(forecast.short_series(monthly), "segment", "months") == [("S", 1)]
+
+
+def test_undated_paid_invoices_are_counted(spark):
+    undated = billing(spark, MONTHS).unionByName(billing(spark, [(None, "12.50"), (None, "1")]))
+    assert rows(forecast.undated_paid_revenue(undated)) == [(2, Decimal("13.50"))]

@@ -121,3 +121,14 @@ def test_daily_run_twice(spark, tmp_path, own_tables):
     assert out["revenue_forecast"].count() == 3
     assert out["data_quality_results"].count() == 22
     assert rows(out["open_alerts"], "alert_type", "alert_count") == [("Customer Health Risk", 1), ("Payment Failure", 1)]
+
+
+def test_malformed_lines_and_rounded_amounts_are_kept_apart(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("a,b,c\n1,x,2\n1,x,2,EXTRA,EXTRA2\n2,y\n3,,100.239\n4,z,100.2\n")
+    raw = bronze_ingest(spark, str(tmp_path / "t.csv"), str(tmp_path / "raw"))
+    assert rows(raw, "a", "b", "c") == [("1", "x", "2"), ("3", None, "100.239"), ("4", "z", "100.2")]
+    bad = spark.read.parquet(str(tmp_path / "raw_malformed"))
+    assert rows(bad, "malformed_line") == [("1,x,2,EXTRA,EXTRA2",), ("2,y",)]
+    typed, quarantined = silver_typed(raw, {"a": ("a", "bigint"), "c": ("c", "decimal(18,2)")})
+    assert [row[0] for row in rows(typed, "a")] == [1, 4]
+    assert rows(quarantined, "a") == [("3",)]

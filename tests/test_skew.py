@@ -170,3 +170,16 @@ def test_supports_one_account_with_a_third_of_tickets(spark):
 
     support = marts.customer_support(staging.stage_support(tickets))
     assert rows(support.filter("customer_id = 0")) == [(0, 30_000, 30_000, 3.0)]
+
+
+def test_every_hot_key_is_listed(spark):
+    """2,000 equal keys, each due several salts: none is left out."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        listed = hot_keys(spark.range(0, 40_000, 1, 8).select((F.col("id") % 2000).alias("user_id")), "user_id")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "8")
+        assert listed.filter("_salts = 4").count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import json_text, lookup
@@ -19,6 +19,7 @@ from tidemark.functions.fixed_values import (
     NOT_ACKNOWLEDGED,
     PAYMENT_ALERT,
 )
+from tidemark.session import cut_lineage
 
 
 def _alert_rows(df: DataFrame, customer: str, texts: dict, severity: Column, metadata: Column) -> DataFrame:
@@ -104,15 +105,25 @@ def expansion_alerts(new_events: DataFrame, alerts: DataFrame, trigger: str = EX
 
 
 def number_rows(new: DataFrame, existing: DataFrame, id_column: str, created_at: Column) -> DataFrame:
-    """Give rows about to be appended unique rising ids and a creation time.
+    """Give rows about to be appended the next ids, without gaps, and a creation time.
 
-    Ids may leave gaps, like a database sequence; write the result once.
+    The rows are materialised, counted by partition and numbered on from the
+    partitions before; no task sees more than its own.  Write the result once.
     """
     last = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).cast("bigint")).scalar()
-    return new.select(
-        (last + 1 + F.monotonically_increasing_id()).alias(id_column),
-        *new.columns,
-        created_at.alias("created_at"),
+    placed = cut_lineage(new).withColumn("_place", F.monotonically_increasing_id())
+    part = F.shiftright("_place", 33).alias("_part")  # the number of the partition is in the upper bits
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy(part)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))  # a row per partition
+    )
+    within = F.col("_place") - F.shiftleft("_part", 33)
+    return (
+        placed.withColumn("_part", part)
+        .join(F.broadcast(starts), "_part")
+        .select((last + 1 + F.col("_start") + within).alias(id_column), *new.columns, created_at.alias("created_at"))
     )
 
 

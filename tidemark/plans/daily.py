@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed_values import SOURCE_TABLES, STAR_TABLES
 from tidemark.operators import alerts as alert_rules
+from tidemark.operators import churn, churn_model
 from tidemark.operators import forecast as forecasting
 from tidemark.operators.events import flag_valid_events
-from tidemark.operators.quality import dq_suite, nonempty_gate, raise_on_failures, run_core_checks
+from tidemark.operators.quality import dq_suite, nonempty_gate, raise_on_failures, run_core_checks, schema_contracts
 from tidemark.operators.star import write_fact
-from tidemark.plans.marts import all_marts, staged, star_schema
+from tidemark.plans.marts import all_marts, churn_input, staged, star_schema
 from tidemark.plans.tables import append, publish
-from tidemark.session import prepare
+from tidemark.session import cut_lineage, prepare
 from tidemark.sources.csv_layers import TYPED_TABLES, bronze_ingest, silver_typed
 from tidemark.streaming.live_events import not_yet_stored, stored_alerts
 
@@ -67,10 +69,14 @@ def alert_table(spark: SparkSession) -> DataFrame:
 
 
 def take_in_live_alerts(spark: SparkSession, live_folder: str, folder: str, at: datetime) -> DataFrame:
-    """Append the streaming job's new alerts to the ``alerts`` table."""
+    """Append the streaming job's new alerts to the ``alerts`` table; alerts of
+    customers whose id is no number go to the quarantine folder."""
     known = alert_table(spark)
     new = not_yet_stored(stored_alerts(spark, live_folder), known)
-    new = new.withColumn("customer_id", F.col("customer_id").try_cast("bigint"))
+    number = F.col("customer_id").try_cast("bigint")
+    unnamed = new.filter(F.col("customer_id").isNotNull() & number.isNull())
+    unnamed.write.mode("overwrite").parquet(f"{folder}/quarantine/live_alerts/{at:%Y%m%dT%H%M%S}")
+    new = new.filter(F.col("customer_id").isNull() | number.isNotNull()).withColumn("customer_id", number)
     return append(alert_rules.number_alerts(new, known, F.lit(at).cast("timestamp_ntz")), "alerts", folder)
 
 
@@ -84,6 +90,54 @@ def raise_alerts(tables, health: DataFrame, folder: str, at: datetime) -> DataFr
     return append(alert_rules.number_alerts(new, known, F.lit(at).cast("timestamp_ntz")), "alerts", folder)
 
 
+def store_actions(alerts: DataFrame, folder: str, at: datetime) -> DataFrame:
+    """Append the follow-up each alert asks for to ``customer_actions``, with
+    ``action_id`` and ``created_at``; returns the whole table."""
+    spark = alerts.sparkSession
+    stored = spark.catalog.tableExists("customer_actions")
+    known = spark.table("customer_actions") if stored else spark.createDataFrame([], "action_id bigint")
+    new = alert_rules.customer_actions(alerts)
+    return append(alert_rules.number_rows(new, known, "action_id", F.lit(at).cast("timestamp_ntz")), "customer_actions", folder)
+
+
+def store_acknowledgements(spark: SparkSession, ids: DataFrame, folder: str, at: datetime) -> DataFrame:
+    """Acknowledge the open ones of ``ids`` in the ``alerts`` table; returns what
+    each request came to."""
+    updated, report = alert_rules.acknowledge_alerts(spark.table("alerts"), ids, F.lit(at).cast("timestamp_ntz"))
+    report = cut_lineage(report)  # it reads the alerts as they were
+    publish(updated, "alerts", folder)
+    return report
+
+
+def record_quality(results: DataFrame, folder: str, at: datetime, mode: str = "append") -> DataFrame:
+    """Add check results to ``data_quality_results`` under the next ids, or with
+    ``mode="replace"`` begin the table anew."""
+    spark = results.sparkSession
+    table = "data_quality_results"
+    rows = results.withColumn("checked_at", F.lit(at))
+    if mode == "replace" or not spark.catalog.tableExists(table):
+        return publish(rows, table, folder)
+    last = spark.table(table).agg(F.coalesce(F.max("dq_id"), F.lit(0))).first()[0]
+    numbered = (F.col("dq_id") + last).cast(rows.schema["dq_id"].dataType)
+    return append(rows.withColumn("dq_id", numbered), table, folder)
+
+
+def train_churn(tables: dict[str, DataFrame], path: str) -> DataFrame:
+    """Fit the churn model on the training part, save it at ``path`` and return
+    its metrics on the test part."""
+    rows = churn_model.stratified_split(cut_lineage(churn.subscription_age_days(churn_input(tables))))
+    rows = cut_lineage(rows)
+    model = churn_model.churn_fit(rows.filter("is_train").drop("is_train"))
+    model.write().overwrite().save(path)
+    return churn_model.churn_metrics(churn_model.churn_score(model, rows.filter("NOT is_train")))
+
+
+def score_churn(tables: dict[str, DataFrame], path: str) -> DataFrame:
+    """Risk of all customers by the model saved at ``path``."""
+    features = churn.subscription_age_days(churn_input(tables))
+    return churn.risk_tier(churn_model.churn_score(PipelineModel.load(path), features))
+
+
 def store_forecast(fact_billing: DataFrame, folder: str, at: datetime) -> DataFrame:
     """Upsert the next months into the ``revenue_forecast`` table."""
     spark = fact_billing.sparkSession
@@ -94,11 +148,14 @@ def store_forecast(fact_billing: DataFrame, folder: str, at: datetime) -> DataFr
     return publish(new, "revenue_forecast", folder)
 
 
-def run_daily(spark: SparkSession, csv_folder: str, work: str, at: datetime) -> dict[str, DataFrame]:
+def run_daily(
+    spark: SparkSession, csv_folder: str, work: str, at: datetime, quality_mode: str = "replace"
+) -> dict[str, DataFrame]:
     """Everything from CSV to alerts and forecast below the shared folder ``work``.
 
     Each layer is written before the next reads it, and the gates between them
-    raise on empty tables or failed core checks.
+    raise on empty tables or failed core checks.  ``quality_mode="append"`` keeps
+    the check results of earlier days.
     """
     prepare(spark)
     raw = load_raw(spark, csv_folder, work)
@@ -114,9 +171,13 @@ def run_daily(spark: SparkSession, csv_folder: str, work: str, at: datetime) ->
     nonempty_gate({name: stars[name] for name in STAR_TABLES})
     out.update(stars)
 
-    publish(dq_suite(tables).withColumn("checked_at", F.lit(at)), "data_quality_results", work)
+    contracts = schema_contracts({**staged(tables), **{name: out[name] for name in all_marts(staged(tables))}})
+    contracts.write.mode("overwrite").parquet(f"{work}/marts/schema_contracts")
+    out["schema_contracts"] = spark.read.parquet(f"{work}/marts/schema_contracts")
+
+    record_quality(dq_suite(tables), work, at, quality_mode)
     core = run_core_checks(tables)
-    append(core.withColumn("checked_at", F.lit(at)), "data_quality_results", work)
+    record_quality(core, work, at)
     raise_on_failures(core)
     out["data_quality_results"] = spark.table("data_quality_results")
     out["alerts"] = raise_alerts(tables, out["customer_health"], work, at)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MALFORMED = "malformed_line"
+
 # Typed layer: target column -> (raw column, type).
 TYPED_TABLES = {
     "accounts": {
@@ -60,16 +62,20 @@ def bronze_ingest(
 ) -> DataFrame:
     """Replace the raw table at ``table_path`` with the CSV's rows, all text.
 
-    Blank cells become NULL, nothing else does.  ``columns`` names the header;
-    without it only the header line is read to learn it.  ``multiline`` allows
-    line breaks inside quotes, at the price of reading each file in one task.
+    Blank cells become NULL, nothing else does.  Lines with more or fewer cells
+    than the header go whole to ``<table_path>_malformed`` instead.  ``columns``
+    names the header; without it only the header line is read to learn it.
+    ``multiline`` allows line breaks inside quotes, at the price of reading each
+    file in one task.
     """
     reader = spark.read.options(header=True, nullValue="", escape='"', multiLine=multiline)
-    if columns is not None:
-        reader = reader.schema(", ".join(f"`{name}` string" for name in columns))
-    else:
-        reader = reader.option("inferSchema", False)
-    reader.csv(csv_path).write.mode("overwrite").parquet(table_path)
+    if columns is None:
+        columns = reader.option("inferSchema", False).csv(csv_path).columns
+    text = ", ".join(f"`{name}` string" for name in (*columns, MALFORMED))
+    lines = reader.option("columnNameOfCorruptRecord", MALFORMED).schema(text).csv(csv_path)
+    whole = F.col(MALFORMED).isNull()
+    lines.filter(whole).drop(MALFORMED).write.mode("overwrite").parquet(table_path)
+    lines.filter(~whole).write.mode("overwrite").parquet(f"{table_path}_malformed")
     return spark.read.parquet(table_path)
 
 
@@ -81,16 +87,25 @@ def _typed(raw: Column, kind: str) -> Column:
     return text if kind == "string" else text.try_cast(kind)
 
 
+def _fails(raw: Column, kind: str) -> Column:
+    """Text that the type cannot take, or not without rounding."""
+    typed = _typed(raw, kind)
+    lost = typed.isNull()
+    if kind.startswith("decimal"):
+        lost = lost | (typed != _typed(raw, "decimal(38,18)"))
+    return (F.trim(raw) != "") & F.coalesce(lost, F.lit(True))
+
+
 def silver_typed(bronze: DataFrame, spec: dict) -> tuple[DataFrame, DataFrame]:
     """(typed rows, quarantined raw rows with the columns that failed).
 
-    A row is quarantined when a cell holds text its type cannot take; a blank
-    cell is a legal NULL.  Both outputs are narrow passes without a shuffle.
+    A row is quarantined when a cell holds text its type cannot take, or could take
+    only by rounding it; a blank cell is a legal NULL.  Text is trimmed.  Both outputs are narrow passes without a shuffle.
     """
     failures = F.array_compact(
         F.array(
             *[
-                F.when((F.trim(raw) != "") & _typed(F.col(raw), kind).isNull(), F.lit(name))
+                F.when(_fails(F.col(raw), kind), F.lit(name))
                 for name, (raw, kind) in spec.items()
             ]
         )
