@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: What separates words: space and the five ASCII control characters of white space.
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -33,6 +34,28 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+ZIPPED = "_zipped_text"
+
+
+def zipped(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with a text column compressed (null as it is) and its size in bytes, as
+    (other columns, ``ZIPPED``, ``ZIPPED``_size): what Spark then shuffles is a third less."""
+    kept = [name for name in df.columns if name != text]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if each is None else each.encode() for each in batch.column(text).to_pylist()]
+            packed = [None if each is None else pa.compress(each, codec="zstd", asbytes=True) for each in texts]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(name) for name in kept), pa.array(packed, pa.binary()), pa.array([len(each or b"") for each in texts], pa.int64())],
+                names=[*kept, ZIPPED, f"{ZIPPED}_size"],
+            )
+
+    fields = [df.schema[name] for name in kept]
+    added = [T.StructField(ZIPPED, T.BinaryType()), T.StructField(f"{ZIPPED}_size", T.LongType())]
+    return df.mapInArrow(lean(run), T.StructType([*fields, *added]))
+
+
 #: Rows of a batch that Python works on at once.
 BATCH_ROWS = 4000
 

@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import ZIPPED, lean, zipped
 from tidemark.llm.url_filter import host_and_path
 
 #: A subtree is a template when it is on so many pages of its host, and on so large a share of them.
@@ -259,7 +260,7 @@ def site_templates(pages: DataFrame) -> DataFrame:
             )
 
     known = pages.where("host != ''")
-    found = known.select("page", "host", "html").mapInArrow(run, "page bigint, host string, subtree bigint")
+    found = known.select("page", "host", "html").mapInArrow(lean(run), "page bigint, host string, subtree bigint")
     sizes = known.groupBy("host").agg(F.count("*").alias("host_pages"))
     counts = (
         found.groupBy("host", "subtree")
@@ -282,13 +283,16 @@ def extract_text(pages: DataFrame, key: str = "page_id", url: str = "url", sourc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            deleted = [frozenset(each or ()) for each in batch.column(3).to_pylist()]
-            texts = [main_text(each or "", gone) for each, gone in zip(batch.column(2).to_pylist(), deleted)]
+            deleted = [frozenset(each or ()) for each in batch.column(4).to_pylist()]
+            packed = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            sources = [pa.decompress(each, size, codec="zstd", asbytes=True).decode() if size else "" for each, size in packed]
+            texts = [main_text(each, gone) for each, gone in zip(sources, deleted)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64()), pa.array(map(len, deleted), pa.int64())],
                 names=["page_id", "url", "text", "n_chars", "n_templates"],
             )
 
-    joined = rows.join(templates, "page", "left").select("page_id", "url", "html", "templates")
+    joined = zipped(rows.drop("host"), "html").join(templates, "page", "left")
+    joined = joined.select("page_id", "url", ZIPPED, f"{ZIPPED}_size", "templates")
     kind = pages.schema[key].dataType.simpleString()
-    return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars bigint, n_templates bigint")
+    return joined.mapInArrow(lean(run), f"page_id {kind}, url string, text string, n_chars bigint, n_templates bigint")

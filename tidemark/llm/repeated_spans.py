@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.blocks import SubstringHashes, pack, range_cuts, run_starts, spread, unpack
-from tidemark.llm.common import lean, lean_group, stored
+from tidemark.llm.common import ZIPPED, lean, lean_group, stored, zipped
 
 LENGTH = 200
 #: Bytes hashed for a trigger, and positions a string's trigger is sought at.
@@ -55,7 +55,6 @@ TEXT_PER_RANGE = 48 << 20
 LEAST_RANGES = 16
 
 _KEY = "_document_key"
-_ZIPPED = "_zipped_text"
 #: Per range: a block of what is sent, its documents, and a block of what the batch has settled itself.
 _DEALT = "range int, rows int, block binary, documents binary, owners int, settled binary, sure int"
 #: Starts of repeated strings, or of strings to be looked at, as packed runs.
@@ -234,7 +233,7 @@ def met_phrases(texts: DataFrame, ranges: int) -> DataFrame:
     return texts.mapInArrow(lean(parse), _DEALT).groupBy("range").applyInArrow(lean_group(_met), _FOUND)
 
 
-def met_strings(zipped: DataFrame, ranges: int) -> DataFrame:
+def met_strings(packed: DataFrame, ranges: int) -> DataFrame:
     """(document, repeated, runs) of repeated strings among those whose starts are in ``runs``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +252,7 @@ def met_strings(zipped: DataFrame, ranges: int) -> DataFrame:
                 every = np.concatenate(hashes)
                 yield _dealt(every, np.zeros_like(every), owner, at, at, documents, ranges)
 
-    return zipped.mapInArrow(lean(cut), _DEALT).groupBy("range").applyInArrow(lean_group(_met), _FOUND)
+    return packed.mapInArrow(lean(cut), _DEALT).groupBy("range").applyInArrow(lean_group(_met), _FOUND)
 
 
 def _bounds(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -265,40 +264,22 @@ def _unzipped(packed: bytes | None, size: int) -> np.ndarray:
     return np.frombuffer(pa.decompress(packed, size, codec="zstd", asbytes=True), np.uint8) if size else np.empty(0, np.uint8)
 
 
-def _zipped(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with the text compressed (null as it is) and its size in bytes, as
-    (other columns, text, size): what Spark shuffles is a third less."""
-    kept = [name for name in docs.columns if name != text]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [None if each is None else each.encode() for each in batch.column(text).to_pylist()]
-            packed = [None if each is None else pa.compress(each, codec="zstd", asbytes=True) for each in texts]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(name) for name in kept), pa.array(packed, pa.binary()), pa.array([len(each or b"") for each in texts], pa.int64())],
-                names=[*kept, _ZIPPED, f"{_ZIPPED}_size"],
-            )
-
-    fields = [docs.schema[name] for name in kept]
-    return docs.mapInArrow(lean(run), T.StructType([*fields, T.StructField(_ZIPPED, T.BinaryType()), T.StructField(f"{_ZIPPED}_size", T.LongType())]))
-
-
 def _listed(found: DataFrame) -> DataFrame:
     return found.groupBy("document").agg(F.collect_list("runs").alias("runs"))
 
 
 def with_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the text compressed (see ``_zipped``), plus ``_runs``: lists of
+    """``docs`` with the text compressed (see ``zipped``), plus ``_runs``: lists of
     packed runs, the starts of repeated strings (null for none)."""
     keyed = docs.withColumn(_KEY, F.xxhash64(key, text))
     texts = keyed.select(F.col(_KEY).alias("document"), F.col(text).alias("text"))
     ranges = _ranges(docs, text)
     met = stored(met_phrases(texts, ranges))
     unsure = _listed(met.where("NOT repeated"))
-    strings = met_strings(_zipped(texts, "text").join(unsure, "document").select("document", _ZIPPED, f"{_ZIPPED}_size", "runs"), ranges)
+    strings = met_strings(zipped(texts, "text").join(unsure, "document").select("document", ZIPPED, f"{ZIPPED}_size", "runs"), ranges)
     found = stored(met.where("repeated").unionByName(strings.where("repeated")))
     runs = _listed(found).select(F.col("document").alias(_KEY), F.col("runs").alias("_runs"))
-    return _zipped(keyed, text).join(runs, _KEY, "left").drop(_KEY)
+    return zipped(keyed, text).join(runs, _KEY, "left").drop(_KEY)
 
 
 def removed_bytes(size: int, runs: list[bytes] | None) -> np.ndarray:
@@ -327,7 +308,7 @@ def span_digests(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    repeats = with_repeats(docs.select(key, text), key, text).select(key, _ZIPPED, f"{_ZIPPED}_size", "_runs")
+    repeats = with_repeats(docs.select(key, text), key, text).select(key, ZIPPED, f"{ZIPPED}_size", "_runs")
     kind = docs.schema[key].dataType.simpleString()
     return repeats.mapInArrow(lean(run), f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
@@ -340,7 +321,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for packed, size, runs in zip(*(batch.column(name).to_pylist() for name in (_ZIPPED, f"{_ZIPPED}_size", "_runs"))):
+            for packed, size, runs in zip(*(batch.column(name).to_pylist() for name in (ZIPPED, f"{ZIPPED}_size", "_runs"))):
                 data = _unzipped(packed, size)
                 if runs:
                     character = np.cumsum((data & 0xC0) != 0x80) - 1
