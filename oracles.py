@@ -418,6 +418,14 @@ def _codes() -> str:
     return f"SELECT account_id, {', '.join(columns)} FROM split s"
 
 
+def _flat() -> str:
+    levels = " + ".join(f"(SELECT count(DISTINCT {name}) FROM split WHERE is_train)" for name in fixed.CATEGORICAL_FEATURES)
+    return (
+        "SELECT feature_no::BIGINT AS feature_no, 0.0::DOUBLE AS gradient "
+        f"FROM (SELECT unnest(range(1 + {len(fixed.NUMERIC_FEATURES)} + {levels})) AS feature_no)"
+    )
+
+
 # ---- forecast ------------------------------------------------------------------------
 
 
@@ -644,6 +652,9 @@ ORACLES = {
     "impute": _sql(_filled()),
     "standardize": _sql(_scaled(), filled=_filled()),
     "one_hot": _sql(_codes()),
+    # A fit is right where the loss is flat, a score where it is the published coefficients' logistic.
+    "churn_fit_gradients": _sql(_flat()),
+    "churn_score_gaps": _sql("SELECT account_id, 0.0::DOUBLE AS gap FROM split"),
     "churn_metrics": _sql(
         """SELECT 'accuracy' AS metric, (tp + tn) / (tp + tn + fp + fn) AS value FROM confusion
            UNION ALL SELECT 'precision', coalesce(tp / nullif(tp + fp, 0), 0) FROM confusion

@@ -13,7 +13,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed_values import CATEGORICAL_FEATURES, NUMERIC_FEATURES
@@ -210,6 +210,45 @@ def churn_score(model: PipelineModel, features: DataFrame) -> DataFrame:
     )
 
 
+def _dot(coefficients: list[float]) -> Column:
+    weights = F.array(*map(F.lit, coefficients))
+    return F.aggregate(F.zip_with("x", weights, lambda x, w: x * w), F.lit(0.0), lambda total, each: total + each)
+
+
+def score_gaps(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """(account_id, gap): how far a score is from the logistic of the coefficients
+    the model publishes, in six decimals."""
+    fitted = model.stages[-1]
+    scored = model.transform(features).select(
+        "account_id", vector_to_array("features").alias("x"), vector_to_array("probability")[1].alias("p")
+    )
+    logistic = 1 / (1 + F.exp(-(F.lit(float(fitted.intercept)) + _dot(fitted.coefficients.toArray().tolist()))))
+    return scored.select("account_id", F.round(F.abs(F.col("p") - logistic), 6).alias("gap"))
+
+
+def loss_gradients(model: PipelineModel, train: DataFrame, label: str = "churned") -> DataFrame:
+    """(feature_no, gradient): slope of the penalised loss at the fitted coefficients,
+    the intercept last, in four decimals; zero at the optimum."""
+    train = train.filter(F.col(label).isNotNull())
+    class_rows = {row[label]: row["count"] for row in train.groupBy(label).count().collect()}  # two rows
+    n = sum(class_rows.values())
+    weight = F.lit(None).cast("double")
+    for value, rows in class_rows.items():
+        weight = F.when(F.col(label) == value, n / (len(class_rows) * rows)).otherwise(weight)
+    coefficients = model.stages[-1].coefficients.toArray().tolist()
+    points = model.transform(train).select(
+        F.concat(vector_to_array("features"), F.array(F.lit(1.0))).alias("x"),
+        (weight * (vector_to_array("probability")[1] - F.col(label))).alias("error"),
+    )
+    penalty = F.element_at(F.array(*map(F.lit, [*coefficients, 0.0])), (F.col("feature_no") + 1).cast("int"))
+    return (
+        points.select("error", F.posexplode("x").alias("feature_no", "value"))
+        .groupBy(F.col("feature_no").cast("bigint").alias("feature_no"))
+        .agg(F.sum(F.col("error") * F.col("value")).alias("slope"))
+        .select("feature_no", F.round(F.abs((F.col("slope") + penalty) / n), 4).alias("gradient"))
+    )
+
+
 # ---- metrics -----------------------------------------------------------------------
 
 

@@ -247,6 +247,16 @@ def _score(t: Inputs) -> DataFrame:
     return churn.risk_tier(churn_model.churn_score(model, rows))
 
 
+def _fit_gradients(t: Inputs) -> DataFrame:
+    model, rows = _fitted(t)
+    return churn_model.loss_gradients(model, rows.filter("is_train").drop("is_train"))
+
+
+def _score_gaps(t: Inputs) -> DataFrame:
+    model, rows = _fitted(t)
+    return churn_model.score_gaps(model, rows)
+
+
 def _cents(df: DataFrame, *names: str) -> DataFrame:
     """Least-squares sums depend on row order in their last digits; shown in
     hundredths of a cent they do not."""
@@ -372,6 +382,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "one_hot": _one_hot,
     "churn_fit": _fit,
     "churn_score": _score,
+    "churn_fit_gradients": _fit_gradients,
+    "churn_score_gaps": _score_gaps,
     "churn_metrics": lambda t: churn_model.churn_metrics(cut_lineage(t.ratio_scores())),
     "classification_report": lambda t: churn_model.classification_report(t.ratio_scores()),
     "risk_tier": lambda t: churn.risk_tier(t.ratio_scores()),
