@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.blocks import SubstringHashes, range_blocks, run_starts, unpack
-from tidemark.llm.common import lean, lean_group, stored
+from tidemark.llm.common import ZIPPED, lean, lean_group, stored, zipped
 from tidemark.llm.components import components
 
 FREQUENT = 24
@@ -408,7 +408,9 @@ def ordered_sets(
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            grams = [gram_hashes(each, words_in_gram) for each in batch.column(0).to_pylist()]
+            packed = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            texts = [pa.decompress(each, size, codec="zstd", asbytes=True).decode() if size else "" for each, size in packed]
+            grams = [gram_hashes(each, words_in_gram) for each in texts]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([fingerprint(each) for each in grams], pa.int64()),
@@ -418,7 +420,8 @@ def ordered_sets(
             )
 
     needed = vertices.distinct().join(first, "vertex").select("first_id").distinct()
-    texts = docs.join(needed, docs[key].eqNullSafe(needed["first_id"]), "left_semi").select(text)
+    packed = zipped(docs.select(key, text), text)
+    texts = packed.join(needed, packed[key].eqNullSafe(needed["first_id"]), "left_semi").select(ZIPPED, f"{ZIPPED}_size")
     return stored(texts.mapInArrow(lean(make), "vertex bigint, grams binary").groupBy("vertex").agg(F.first("grams").alias("grams")))
 
 
