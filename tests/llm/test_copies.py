@@ -6,11 +6,14 @@ import hashlib
 import random
 import re
 from collections import Counter
+from itertools import permutations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import ngram_join, repeated_spans
+from tidemark.llm.blocks import SubstringHashes
 from tidemark.llm.components import components
 from tidemark.llm.line_dedup import kept_text, without_repeated_lines
 
@@ -152,6 +155,59 @@ def test_spans_equal_brute_force(docs, seed, monkeypatch):
     assert sorted((tuple(row) for row in result.collect()), key=str) == brute_spans(pairs)
 
 
+def found_in_batches(batches, order):
+    """Runs of repeated strings by document, with the blocks of the batches read in this order."""
+
+    def met(dealt):
+        return repeated_spans._met(pa.Table.from_batches([dealt[at] for at in order])).to_pylist()
+
+    def sent(rows):
+        columns = [np.concatenate(each) for each in zip(*(row[1:] for row in rows))]
+        owner = np.repeat(np.arange(len(rows)), [len(row[1]) for row in rows])
+        return repeated_spans._dealt(*columns[:2], owner, *columns[2:], np.array([row[0] for row in rows]), 1)
+
+    data = {document: np.frombuffer(text.encode(), np.uint8) for batch in batches for document, text in batch}
+    rows = met([sent([(document, *repeated_spans.phrases(data[document])) for document, _ in batch]) for batch in batches])
+    starts = {}
+    for row in rows:
+        if not row["repeated"]:
+            first, last = repeated_spans._bounds([row["runs"]])
+            starts.setdefault(row["document"], set()).update(at for a, b in zip(first, last) for at in range(a, b + 1))
+    dealt = []
+    for batch in batches:
+        strings = []
+        for document, _ in batch:
+            at = np.array(sorted(starts.get(document, ())), np.int64)
+            hashes = SubstringHashes(data[document]).of(at, at + 200)
+            strings.append((document, hashes, np.zeros_like(hashes), at, at))
+        dealt.append(sent(strings))
+    found = {}
+    for row in rows + met(dealt):
+        if row["repeated"]:
+            found.setdefault(row["document"], []).append(row["runs"])
+    return found
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_spans_do_not_depend_on_which_block_is_read_first(seed):
+    """Batches that hold a phrase alone or twice, and batches that hold it beside others with its key."""
+    rng = random.Random(seed)
+    keys = [set()]
+    while not set.intersection(*keys):
+        core = prose(rng, 40)[:150]
+        variants = [f"{prose(rng, 9)[:40]}{core}{prose(rng, 9)[:40]}" for _ in range(3)]
+        keys = [set(repeated_spans.phrases(np.frombuffer(text.encode(), np.uint8))[0].tolist()) for text in variants]
+    p, q, r = variants
+    for texts in ([[p, q], [p]], [[q, p], [q]], [[p, q], [p, p]], [[p, q], [p, r], [p]], [[p, p, q], [p]], [[p, q], [p], [q]], [[p, q], [r], [p]]):
+        numbers = iter(range(100))
+        batches = [[(next(numbers), text) for text in batch] for batch in texts]
+        pairs = [pair for batch in batches for pair in batch]
+        expected = {row[0]: row[2] for row in brute_spans(pairs)}
+        for order in permutations(range(len(batches))):
+            found = found_in_batches(batches, order)
+            assert {document: int(repeated_spans.removed_bytes(len(text), found.get(document)).sum()) for document, text in pairs} == expected
+
+
 def test_cut_texts_keep_columns_and_whole_characters(docs):
     shared = "ü" * 130  # 260 bytes
     frame = docs([(1, f"a{shared}b"), (2, f"c{shared}"), (3, "clean text"), (4, None), (5, "")])

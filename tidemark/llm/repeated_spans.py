@@ -184,12 +184,14 @@ def _met(blocks: pa.Table) -> pa.Table:
     found = settled
     if parts:
         hashes, others, document, first, last, state = (np.concatenate(each) for each in zip(*parts))
-        order = np.lexsort((others, hashes))
+        # Of equal rows, one that its batch does not mark as unsure itself leads, whichever block was read first.
+        order = np.lexsort((state, others, hashes))
         hashes, others, document, first, last, state = (each[order] for each in (hashes, others, document, first, last, state))
         sizes, different, alike, lead = _classes(hashes, others)
         starts = run_starts(hashes)
         different |= np.repeat(np.maximum.reduceat(state, starts) == _DIFFERENT, np.diff(np.append(starts, len(hashes))))
-        # A row that stands for equal ones of its batch has been told as repeated there.
+        # A row that stands for equal ones of its batch has been told as repeated there.  A batch that
+        # met different things looks at its own row of each; the lead shows these what others hold.
         unsure = different & lead & (state != _DIFFERENT)
         doubled = (alike > 1) & (state == _ONE)
         for rows, verdict in ((unsure, 0), (doubled, 1)):
