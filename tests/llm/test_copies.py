@@ -16,6 +16,7 @@ from tidemark.llm import ngram_join, repeated_spans
 from tidemark.llm.blocks import SubstringHashes
 from tidemark.llm.components import components
 from tidemark.llm.line_dedup import kept_text, without_repeated_lines
+from tidemark.llm.queries import QUERIES
 
 WORDS = "ant bee cat dog elk fox gnu hen ibis jay kite lark mole newt owl pig quail ram seal toad".split()
 
@@ -231,3 +232,22 @@ def test_lines_keep_the_earliest_with_offsets(docs):
         (5, 0, []),
     ]
     assert [row.t for row in kept.where("doc_id = 6").select(kept_text().alias("t")).collect()] == ["", ""]
+
+
+def test_query_removes_repeated_lines_of_any_length(spark, docs, tmp_path):
+    thai = "สวัสดีชาวโลกนี่คือย่อหน้ายาวที่ไม่มีช่องว่าง"
+    pairs = [(1, f"les.\n\n{thai}\ntwo words"), (2, f"Les.\n\n \n{thai}\nTWO  words\nnew"), (3, "les.\nles.\nown"), (4, ""), (5, None)]
+    docs(pairs).write.parquet(f"{tmp_path}/documents.parquet")
+    found = {row.doc_id: (row.n_units, row.n_removed, row.kept_sha256) for row in QUERIES["op9_line_dedup"](spark, str(tmp_path)).collect()}
+    seen, expected = set(), {}
+    for doc_id, text in pairs:
+        lines = (text or "").split("\n") if text else []
+        kept = []
+        for line in lines:
+            normal = " ".join(line.lower().split())
+            if not normal or normal not in seen:
+                kept.append(line)
+            seen.add(normal)
+        expected[doc_id] = (len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest())
+    assert found == expected
+    assert [expected[at][1] for at in range(1, 6)] == [0, 3, 2, 0, 0]

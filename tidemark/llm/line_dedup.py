@@ -3,8 +3,10 @@
 Each text is cut into lines (or paragraphs, by another separator).  A unit is
 normalised (lower case, one space between words, trimmed), and its 128-bit
 digest is grouped over all documents.  The occurrence with the smallest
-(document, unit number) is kept; every other occurrence is removed.  Units with
-fewer than ``LEAST_WORDS`` words recur by chance and are kept.
+(document, unit number) is kept; every other occurrence is removed.  Blank units
+are kept.  So are those of fewer than ``least_words`` words between ASCII spaces,
+which is ``LEAST_WORDS`` unless given; 1 leaves no unit out, and is what the query
+uses: a line of Chinese or Thai is one word, however long.
 
 Only digests are shuffled, and only those met twice come back to the units; the
 minimum of a digest is pre-aggregated, and the join that brings it back splits
@@ -33,7 +35,9 @@ def _normal(unit: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(unit), "[\\x20\\x09-\\x0D]+", " "))
 
 
-def units(docs: DataFrame, key: str = "doc_id", text: str = "text", separator: str = "\n") -> DataFrame:
+def units(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", separator: str = "\n", least_words: int = LEAST_WORDS
+) -> DataFrame:
     """(doc_id, text_hash, unit_no, digest_1, digest_2) of units that count."""
     split = docs.where(F.length(text) > 0).select(
         F.col(key).alias("doc_id"),
@@ -43,7 +47,7 @@ def units(docs: DataFrame, key: str = "doc_id", text: str = "text", separator: s
     rows = split.select("doc_id", "text_hash", F.posexplode("parts").alias("unit_no", "unit"))
     normal = rows.select("doc_id", "text_hash", "unit_no", _normal(F.col("unit")).alias("normal"))
     spaces = F.length("normal") - F.length(F.replace("normal", F.lit(" "), F.lit("")))
-    return normal.where(spaces >= LEAST_WORDS - 1).select(
+    return normal.where((F.col("normal") != "") & (spaces >= least_words - 1)).select(
         "doc_id",
         "text_hash",
         "unit_no",
@@ -52,9 +56,11 @@ def units(docs: DataFrame, key: str = "doc_id", text: str = "text", separator: s
     )
 
 
-def removed_units(docs: DataFrame, key: str = "doc_id", text: str = "text", separator: str = "\n") -> DataFrame:
+def removed_units(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", separator: str = "\n", least_words: int = LEAST_WORDS
+) -> DataFrame:
     """(doc_id, text_hash, removed): sorted numbers of the units to remove."""
-    counted = units(docs, key, text, separator)
+    counted = units(docs, key, text, separator, least_words)
     digest = ["digest_1", "digest_2"]
     place = F.struct("doc_id", "text_hash", "unit_no")
     repeated = counted.groupBy(*digest).agg(F.min(place).alias("kept"), F.max(place).alias("latest")).where("kept != latest")
@@ -63,12 +69,12 @@ def removed_units(docs: DataFrame, key: str = "doc_id", text: str = "text", sepa
 
 
 def without_repeated_lines(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", separator: str = "\n"
+    docs: DataFrame, key: str = "doc_id", text: str = "text", separator: str = "\n", least_words: int = LEAST_WORDS
 ) -> DataFrame:
     """``docs`` plus ``n_units`` and ``kept_units``: (start, unit) of the units that
     stay, in order, with their character offsets in the original text."""
     clear = docs.drop("kept_units", "n_units")
-    removed = removed_units(clear, key, text, separator)
+    removed = removed_units(clear, key, text, separator, least_words)
     same = clear[key].eqNullSafe(removed["doc_id"]) & (F.xxhash64(clear[text]) == removed["text_hash"])
     names = clear.columns
     joined = clear.join(removed, same, "left").select(*[clear[name] for name in names], F.col("removed").alias("_removed"))

@@ -76,7 +76,7 @@ def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    kept = line_dedup.without_repeated_lines(table(spark, folder, "documents"))
+    kept = line_dedup.without_repeated_lines(table(spark, folder, "documents"), least_words=1)
     text = line_dedup.kept_text()
     return kept.select(
         "doc_id",
