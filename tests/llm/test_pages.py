@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import html_extract, sharding, url_filter
 from tidemark.llm.queries import URL_RULES
@@ -99,6 +100,43 @@ def test_model_is_a_distribution():
     assert model.log_likelihood("z") > float("-inf")
 
 
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_contexts_are_kept_alike_at_every_size(spark, monkeypatch, broadcast):
+    """Scores by brute force, where the input has 700,000 characters of a label."""
+    monkeypatch.setattr(url_filter, "BROADCAST_ROWS", broadcast, raising=False)
+    seen = {f"http://site{n}.{end}/page-{n}-of-many": 4000 for n in range(6) for end in ("org/fr", "net")}
+    seen |= {f"http://rare{n}.net/wxyzq{n}": 1 for n in range(30)} | {f"http://seld{n}.org/fr/kvjé{n}": 1 for n in range(30)}
+    seen |= {"http://x.com/wxyzq": 3, "http://y.com/kvjé": 1, "http://rare.seld/": 1, "nothing": 2}
+    once = spark.createDataFrame(list(seen.items()), "url string, times int")
+    rows = once.select(F.lit(1).cast("bigint").alias("page_id"), "url", F.explode(F.sequence(F.lit(1), "times")).alias("number"))
+    address = {url: url.partition("://")[2] for url in seen}
+    held = {row.a for row in spark.createDataFrame([(a,) for a in address.values()], "a string").where("pmod(xxhash64(a), 5) = 0").collect()}
+    counts = {"allow": Counter(), "block": Counter()}
+    for url, times in seen.items():
+        kind = "block" if ".net" in url else "allow" if ".org" in url else None
+        if kind and address[url] not in held:
+            padded = "\n" * 5 + address[url] + "\n"
+            for at in range(5, len(padded)):
+                for order in range(6):
+                    counts[kind][padded[at - order : at], padded[at]] += times
+    likelihood = {}
+    for kind, each in counts.items():
+        totals = Counter()
+        for (context, _), times in each.items():
+            totals[context] += times
+        model = url_filter.MarkovModel([(context, after, times) for (context, after), times in each.items() if totals[context] >= 4])
+        likelihood[kind] = model.log_likelihood
+    found = {row.url: (row.score, row.n) for row in _scores_by_url(url_filter.judge_urls(rows, URL_RULES)).collect()}
+    assert {url: n for url, (_, n) in found.items()} == {a: seen[url] for url, a in address.items()}
+    for url, (score, _) in found.items():
+        expected = (likelihood["allow"](url) - likelihood["block"](url)) / (len(url) + 1) if url else 0.0
+        assert score == pytest.approx(expected, abs=1e-9)
+
+
+def _scores_by_url(judged):
+    return judged.groupBy(F.concat("host", "path").alias("url")).agg(F.max("score").alias("score"), F.count("*").alias("n"))
+
+
 @pytest.mark.parametrize("shards", [4, 40])
 def test_shards_are_even_and_keep_groups(docs, shards, monkeypatch):
     monkeypatch.setattr(sharding, "ROWS_PER_SLICE", 50)

@@ -7,10 +7,10 @@ rejected URLs: the mean log-likelihood difference per character against a
 threshold calibrated on held-out URLs.
 
 All given URLs are counted (Spark sums partial n-gram counts).  A context is
-kept while it covers at least one in ``CONTEXTS_PER_ORDER`` of all counted
-characters, and seen ``LEAST_SEEN`` times; the model therefore has at most
-``CONTEXTS_PER_ORDER`` contexts per order, whatever the input, and is small
-enough to send to every worker.  Counts behind it grow with the input.
+kept when it was seen ``LEAST_SEEN`` times, at any size of the input, so the models
+grow with it.  Up to ``BROADCAST_ROWS`` counts they are sent to every worker; beyond
+that Spark joins the counts with the windows of the different URLs.  The scores
+are the same but for the order of the additions.
 
 Null URLs and URLs without ``://`` have an empty host and path, fit no rule and
 hold nothing to score: they are allowed.  Repeated rows are judged each.
@@ -21,22 +21,26 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lean, lower_ascii
+from tidemark.llm.common import lean, lower_ascii, stored
 
 ORDER = 5
-CONTEXTS_PER_ORDER = 100_000
 LEAST_SEEN = 4
+#: Counts of kept contexts up to which the models are sent to the workers.
+BROADCAST_ROWS = 500_000
 #: One URL in this many is held out for the threshold.
 HELD_OUT = 5
 #: Steps of the score (nats per character) that thresholds are tried at.
 STEP = 0.01
 #: Context characters before the first; the end is counted as a character, too.
 EDGE = "\n"
+#: Chance of a character never seen.
+UNSEEN = 1 / 65536
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -94,7 +98,7 @@ class MarkovModel:
         padded = EDGE * ORDER + address + EDGE
         total = 0.0
         for at in range(ORDER, len(padded)):
-            chance = 1 / 65536  # of a character never seen
+            chance = UNSEEN
             for order in range(ORDER + 1):
                 context = padded[at - order : at]
                 seen = self.following.get(context)
@@ -106,19 +110,20 @@ class MarkovModel:
         return total
 
 
-def fit(urls: DataFrame) -> dict[str, MarkovModel]:
-    """Models by label of (label, address) rows.  Runs a job; what it collects is
-    bounded by ``CONTEXTS_PER_ORDER``."""
+def kept_counts(urls: DataFrame) -> DataFrame:
+    """(label, context, next, seen, rows, kinds) of the contexts kept, from (label,
+    address) rows: how often a context was seen, and with how many different
+    characters after it.  Runs a job."""
     counts = ngram_counts(urls)
-    contexts = counts.groupBy("label", "context").agg(F.sum("seen").alias("rows"))
-    total = F.sum(F.when(F.col("context") == "", F.col("rows")).otherwise(0))
-    totals = {row["label"]: row["rows"] for row in contexts.groupBy("label").agg(total.alias("rows")).collect()}
-    least = F.lit(LEAST_SEEN)
-    for label, rows in totals.items():
-        least = F.when(F.col("label") == label, max(LEAST_SEEN, rows / CONTEXTS_PER_ORDER)).otherwise(least)
-    kept = contexts.where((F.col("rows") >= least) | (F.col("context") == "")).select("label", "context")
+    contexts = counts.groupBy("label", "context").agg(F.sum("seen").alias("rows"), F.count("*").alias("kinds"))
+    kept = contexts.where((F.col("rows") >= LEAST_SEEN) | (F.col("context") == ""))
+    return stored(counts.join(kept, ["label", "context"]).select("label", "context", "next", "seen", "rows", "kinds"))
+
+
+def models(counts: DataFrame) -> dict[str, MarkovModel]:
+    """Models by label of kept counts.  Collects them."""
     rows: dict[str, list] = {}
-    for row in counts.join(kept, ["label", "context"]).collect():
+    for row in counts.select("label", "context", "next", "seen").collect():
         rows.setdefault(row["label"], []).append((row["context"], row["next"], row["seen"]))
     return {label: MarkovModel(each) for label, each in rows.items()}
 
@@ -141,6 +146,61 @@ def scored(urls: DataFrame, accepted: MarkovModel, rejected: MarkovModel, key: s
     return urls.select(key, text).mapInArrow(lean(run), f"`{key}` {kind}, address string, score double")
 
 
+def window_chances(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """(gram, allow, block): both models' chance of the last character of each window.
+
+    Goes up order by order, over different grams, so that a gram meets no more
+    longer ones than there are characters.
+    """
+    labels = ("allow", "block")
+
+    def beside(keys: list[str], names: list[str]) -> DataFrame:
+        values = [F.max(F.when(F.col("label") == label, F.col(name))).alias(f"{label}_{name}") for label in labels for name in names]
+        return counts.groupBy(*keys).agg(*values)
+
+    contexts, nexts = beside(["context"], ["rows", "kinds"]), beside(["context", "next"], ["seen"])
+    chances = None
+    for order in range(ORDER + 1):
+        grams = windows.select(F.substring("window", ORDER - order + 1, order + 1).alias("gram")).distinct()
+        if chances is None:
+            grams = grams.select("gram", *[F.lit(UNSEEN).alias(label) for label in labels])
+        else:
+            grams = grams.withColumn("shorter", F.substring("gram", 2, order)).join(chances.withColumnRenamed("gram", "shorter"), "shorter")
+        grams = grams.withColumn("context", F.substring("gram", 1, order)).withColumn("next", F.substring("gram", order + 1, 1))
+        long = F.length("context") == order
+        met = grams.join(contexts.where(long), "context", "left").join(nexts.where(long), ["context", "next"], "left")
+        chance = {
+            label: (F.coalesce(f"{label}_seen", F.lit(0)) + F.col(f"{label}_kinds") * F.col(label)) / (F.col(f"{label}_rows") + F.col(f"{label}_kinds"))
+            for label in labels
+        }
+        chances = met.select("gram", *[F.coalesce(chance[label], F.col(label)).alias(label) for label in labels])
+    return chances
+
+
+def joined_scores(urls: DataFrame, counts: DataFrame, key: str, text: str = "address") -> DataFrame:
+    """What ``scored`` returns, by joins with the counts instead of models on the workers.  Runs a job."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for address in batch.column(0).to_pylist():
+                padded = EDGE * ORDER + address + EDGE
+                seen = Counter(padded[at - ORDER : at + 1] for at in range(ORDER, len(padded)))
+                rows += [(address, window, times) for window, times in seen.items()]
+            columns = zip(*rows) if rows else ((), (), ())
+            kinds = (pa.string(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(each, kind) for each, kind in zip(columns, kinds)], names=["address", "window", "times"])
+
+    addresses = urls.select(F.col(text).alias("address")).where("address != ''").distinct()
+    windows = stored(addresses.mapInArrow(lean(cut), "address string, window string, times bigint"))
+    chances = window_chances(windows.select("window").distinct(), counts)
+    ratios = chances.select(F.col("gram").alias("window"), (F.log("allow") - F.log("block")).alias("ratio"))
+    sums = windows.join(ratios, "window").groupBy("address").agg(F.sum(F.col("times") * F.col("ratio")).alias("total"))
+    scores = sums.select("address", (F.col("total") / (F.length("address") + 1)).alias("score"))
+    rows = urls.select(key, F.col(text).alias("address")).join(scores, "address", "left")
+    return rows.select(key, "address", F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
 def calibrate(held_out: DataFrame) -> float:
     """The threshold with the best mean of both classes' shares judged rightly,
     from (label, score) rows; the middle one where several are as good."""
@@ -173,16 +233,20 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], key: str = "page_
     judged = judged.select("*", rule.alias("rule"), verdict.alias("label"), F.concat("host", "path").alias("address"))
     labelled = judged.where("label IS NOT NULL AND address != ''").select("label", "address")
     held = F.pmod(F.xxhash64("address"), F.lit(HELD_OUT)) == 0
-    models = fit(labelled.where(~held))
-    if set(models) != {"allow", "block"}:
+    counts = kept_counts(labelled.where(~held))
+    if {row["label"] for row in counts.where("context = ''").select("label").distinct().collect()} != {"allow", "block"}:
         return judged.select(
             "page_id", "host", "path", "rule", F.lit(None).cast("double").alias("score"), F.coalesce("label", F.lit("allow")).alias("verdict")
         )
-    accepted, rejected = models["allow"], models["block"]
-    threshold = calibrate(scored(labelled.where(held), accepted, rejected, "label"))
+    if counts.count() <= BROADCAST_ROWS:
+        known = models(counts)
+        score = partial(scored, accepted=known["allow"], rejected=known["block"])
+    else:
+        score = partial(joined_scores, counts=counts)
+    threshold = calibrate(score(labelled.where(held), key="label"))
     packed = judged.select(F.struct("page_id", "host", "path", "rule", "label").alias("row"), "address")
     verdict = F.coalesce(
         F.col("row.label"),
         F.when((F.col("address") == "") | (F.col("score") >= threshold), "allow").otherwise("block"),
     )
-    return scored(packed, accepted, rejected, "row").select("row.page_id", "row.host", "row.path", "row.rule", "score", verdict.alias("verdict"))
+    return score(packed, key="row").select("row.page_id", "row.host", "row.path", "row.rule", "score", verdict.alias("verdict"))
