@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no driver tab
 
 
 def test_all_are_registered():
-    assert {f"op{number}" for number in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{number}" for number in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())
 

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, decontamination, html_extract, licenses, line_dedup, ngram_join, quality, repeated_spans, sharding, url_filter
+from tidemark.llm import (
+    byte_bpe,
+    decontamination,
+    html_extract,
+    lexical_search,
+    licenses,
+    line_dedup,
+    ngram_join,
+    personal_data,
+    quality,
+    repeated_spans,
+    sharding,
+    source_audit,
+    url_filter,
+)
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +111,24 @@ def op10_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
         public_tokenizers.PATTERN,
     )
+
+
+@query
+def op11_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data.span_digests(table(spark, folder, "documents"))
+
+
+@query
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical_search.ranked_documents(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+ORACLES["op12_lexical_search"] = lexical_search.sql()
+
+
+@query
+def op13_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.divergence(table(spark, folder, "documents"))
+
+
+ORACLES["op13_source_audit"] = source_audit.sql()
