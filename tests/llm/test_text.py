@@ -107,6 +107,17 @@ def test_odd_histograms_are_rejected_and_clean_ones_kept(docs, spark):
     assert quality.kept_documents(frame.where("doc_id < 0")).count() == 0
 
 
+def test_rules_take_filters_and_any_column_names(docs):
+    words = " ".join(["the of and word"] * 5 + [f"w{at}" for at in range(60)])
+    frame = docs([(1, words), (2, "short"), (3, None)]).withColumnsRenamed({"firsts": "classes", "leaks": "n_words", "vertex": "reference_classes"})
+    rows = quality.judged(frame)
+    assert {row.doc_id for row in rows.where("kept").collect()} == {1}
+    assert {row.doc_id for row in rows.where("base_failed AND n_words < 2").collect()} == {2, 3}
+    assert rows.first().reference_classes == 3 and rows.columns.count("n_words") == 1
+    kept = quality.kept_documents(frame)
+    assert kept.columns == frame.columns and kept.first().n_words == 2
+
+
 def brute_leaks(pairs, items):
     index = decontamination.ItemIndex(items, decontamination.LEAST_SCORE)
     found = set()

@@ -119,8 +119,7 @@ units AS (
   FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM parts)
 ),
 ranked AS (
-  SELECT *, len(string_split(normal, ' ')) >= {LEAST_WORDS}
-    AND row_number() OVER (PARTITION BY normal ORDER BY doc_id, unit_no) > 1 AS removed
+  SELECT *, normal <> '' AND row_number() OVER (PARTITION BY normal ORDER BY doc_id, unit_no) > 1 AS removed
   FROM units
 ),
 kept AS (

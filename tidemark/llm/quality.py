@@ -16,6 +16,7 @@ inside its own row, so the only shuffle is the one that adds up the references
 A document in a language without a reference, or without one at all (null),
 passes the divergence rules.  Null and empty texts have no words and fail the
 base rule.  Repeated rows are judged each; an empty table gives an empty result.
+Columns of the documents pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -154,16 +155,21 @@ def _distance(own: str, reference: str) -> Column:
 def language_references(docs: DataFrame, text: str = "text") -> DataFrame:
     """(lang, reference_classes, reference_common) over all documents: a row per
     language with fixed common words, so at most four."""
-    counted = with_counts(docs.where(F.col("lang").isin(*COMMON_WORDS)).select(text, "lang"), text)
+    counted = with_counts(docs.where(F.col("lang").isin(*COMMON_WORDS)).select(F.col(text).alias("text"), "lang"))
     sums = {name: [F.sum(F.col(name)[slot]) for slot in range(width)] for name, width in (("classes", len(CHARACTER_CLASSES) + 1), ("common", WORD_SLOTS))}
     return counted.groupBy("lang").agg(*[F.array(*each).alias(f"reference_{name}") for name, each in sums.items()])
 
 
-def judged(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus the counts, class_distance, word_distance, base_failed and kept."""
-    counted = with_counts(docs, text)
+ADDED = "n_words word_chars n_symbols n_dup_lines n_repeat_words classes common class_distance word_distance base_failed kept".split()
+
+
+def _judged(docs: DataFrame, text: str) -> tuple[DataFrame, list[Column]]:
+    """The rules' columns beside those of ``docs``, and these under their own names."""
+    numbered = [F.col(f"`{name}`").alias(f"_document_{at}") for at, name in enumerate(docs.columns)]
+    own = docs.select(*numbered, F.col(text).alias("text"), F.col("lang").alias("lang"))
     compared = (
-        counted.join(F.broadcast(language_references(docs, text)), "lang", "left")
+        with_counts(own)
+        .join(F.broadcast(language_references(docs, text)), "lang", "left")
         .withColumn("class_distance", _distance("classes", "reference_classes"))
         .withColumn("word_distance", _distance("common", "reference_common"))
         .withColumn(
@@ -176,16 +182,25 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
     odd_characters = (characters >= LEAST_CHARACTERS) & (F.col("class_distance") > MOST_CLASS_DISTANCE)
     odd_words = (F.col("n_words") >= LEAST_COMPARED_WORDS) & (F.col("word_distance") > MOST_WORD_DISTANCE)
     verdict = ~F.col("base_failed") & ~F.coalesce(odd_characters, F.lit(False)) & ~F.coalesce(odd_words, F.lit(False))
-    return compared.withColumn("kept", verdict)
+    named = [F.col(f"_document_{at}").alias(name) for at, name in enumerate(docs.columns)]
+    # Filters do not move below a generator: else Spark would push one on the verdict
+    # down through the projections and repeat their work wherever a column is used.
+    both = F.inline(F.array(F.struct(*ADDED[:-1], verdict.alias(ADDED[-1]))))
+    held = [f"_document_{at}" for at in range(len(docs.columns))]
+    return compared.select(*held, both), named
+
+
+def judged(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` plus the counts, the histograms, class_distance, word_distance,
+    base_failed and kept; a column of ``docs`` with such a name is replaced."""
+    rows, named = _judged(docs, text)
+    return rows.select(*[column for column, name in zip(named, docs.columns) if name not in ADDED], *ADDED)
 
 
 def kept_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns as they are."""
-    rows = docs.select(F.struct(*docs.columns).alias("_document"), F.col(text), "lang")
-    # Without the row number Spark would push the filter below the projections and
-    # repeat their work inside it, once for each place a column is used.
-    numbered = judged(rows, text).withColumn("_number", F.monotonically_increasing_id())
-    return numbered.where(F.col("kept") & (F.col("_number") >= 0)).select("_document.*")
+    rows, named = _judged(docs, text)
+    return rows.where("kept").select(*named)
 
 
 def sql() -> str:
