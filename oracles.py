@@ -697,6 +697,8 @@ ORACLES = {
     ),
     # live events
     "live_events_ingest": _sql("SELECT * FROM live_rows"),
+    "live_events_stream": _sql("SELECT * FROM live_rows"),
+    "expansion_alerts_stream": _sql(_EXPANSION_ALERTS),
     "live_events_batch": _sql("SELECT * FROM live_rows WHERE feature <> 'click'"),
     "expansion_alerts": _sql(_EXPANSION_ALERTS),
     "expansion_alerts_live": _sql(_EXPANSION_ALERTS),

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.events import enrich_events_with_account
 from tidemark.plans import daily
+from tidemark.sources.shared_files import names_in, read_text, remove, write_text
 from tidemark.streaming import live_events
+from tidemark.streaming.batch_log import BatchLog
 
 
 def event(event_id, customer="1", feature="AI_Assistant", minute=0, **changed):
@@ -190,3 +192,83 @@ def test_enrich_a_stream(topic, tmp_path, spark):
     )
     query.awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "enriched")), "event_id", "customer_id") == [("a", 500), ("b", None)]
+
+
+def test_small_files(spark, tmp_path):
+    path = str(tmp_path / "a" / "b.json")
+    assert read_text(spark, path) is None and names_in(spark, str(tmp_path / "a")) == []
+    for text in ("é1", "2"):
+        write_text(spark, path, text)
+        assert read_text(spark, path) == text
+    assert [name for name in names_in(spark, str(tmp_path / "a")) if not name.endswith(".crc")] == ["b.json"]
+    remove(spark, path)
+    remove(spark, path)
+    assert read_text(spark, path) is None
+
+
+def numbers(spark, *values):
+    return spark.createDataFrame([(value,) for value in values], "n int").coalesce(1)
+
+
+def test_log_stays_in_few_folders(spark, tmp_path):
+    log = BatchLog(spark, str(tmp_path / "log"), "n int", fold=3, retained=4)
+    assert log.rows().count() == 0
+    seen = []
+    for batch in range(30):
+        assert rows(log.before("s", batch)) == [(n,) for n in range(batch)]
+        assert rows(log.store(numbers(spark, batch), "s", batch)) == [(batch,)]
+        seen.append(len(log.folders()))
+    assert rows(log.rows()) == [(n,) for n in range(30)]
+    assert max(seen) <= 2 * 4 and seen[-1] <= seen[9] + 2
+    assert len(log._versions()) == 4
+    kept = [name for name in names_in(spark, log.path) if name.startswith("rows-")]
+    assert len(kept) <= len(log.folders()) + 3 * 4  # of the retained versions
+
+
+@pytest.mark.parametrize("at", [1, 2, 5, 8])
+def test_log_replays_a_batch(spark, tmp_path, at):
+    log = BatchLog(spark, str(tmp_path / "log"), "n int", fold=3)
+    for batch in range(at + 1):
+        log.store(numbers(spark, batch), "s", batch)
+    before = log.folders()
+    assert rows(log.before("s", at)) == [(n,) for n in range(at)]
+    log.store(numbers(spark, at), "s", at)  # once more
+    assert log.folders() == before and rows(log.rows()) == [(n,) for n in range(at + 1)]
+    # Another stream numbers its batches from 0 again.
+    assert rows(log.before("t", 0)) == [(n,) for n in range(at + 1)]
+    log.store(numbers(spark, 100), "t", 0)
+    assert rows(log.rows()) == [*[(n,) for n in range(at + 1)], (100,)]
+
+
+def test_log_does_not_fold_large_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.streaming.batch_log.LARGEST", 1)
+    log = BatchLog(spark, str(tmp_path / "log"), "n int", fold=2)
+    for batch in range(5):
+        log.store(numbers(spark, batch), "s", batch)
+    assert len(log.folders()) == 5 and log.rows().count() == 5
+
+
+def test_settled_alerts_leave_the_folded_state(topic, tmp_path, spark, monkeypatch):
+    monkeypatch.setattr(BatchLog.__init__, "__defaults__", (2, 20))
+    out = tmp_path / "out"
+    settled = spark.createDataFrame([alert_row(1, 1, "Expansion Opportunity", "Acknowledged")], ALERTS)
+    table = settled.withColumn("metadata", F.lit('{"event_id":"a"}'))
+    topic.send(event("a"))
+    topic.send(event("b", "2"))
+    topic.send(event("c"), event("d", "2"))
+    ids, alerted = run(topic, out, alerts=lambda session: table)
+    assert ids == [("a",), ("b",), ("c",), ("d",)]
+    assert alerted == [("1",), ("1",), ("2",)]  # the first alert of customer 1 was settled
+    state = live_events._logs(spark, str(out))[2]
+    assert len(state.folders()) == 2 and rows(state.rows(), "source_event") == [("b",), ("c",)]
+
+
+def test_a_lost_checkpoint_stores_nothing_twice(topic, tmp_path, spark):
+    out = tmp_path / "out"
+    topic.send(event("a"), event("b", "2"))
+    topic.send(event("c", "3"))
+    before = run(topic, out, dedupe="sink")
+    remove(spark, str(out / "_checkpoints"))
+    topic.send(event("d", "4"))
+    ids, alerted = run(topic, out, dedupe="sink")
+    assert (ids, alerted) == (before[0] + [("d",)], before[1] + [("4",)])

@@ -1,21 +1,24 @@
 """Live events: parse, store once, raise expansion alerts.
 
-Delivery is at least once and every output is written under its batch id, so
-a batch that is replayed replaces its own rows: stored events and alerts come
-out exactly once.
+Delivery is at least once and every batch stores its rows as a version of a
+batch log, so a batch that is replayed replaces its own rows: stored events and
+alerts come out exactly once, and what a batch reads of earlier ones lies in few
+folders however many there were.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.fixed_values import EXPANSION_FEATURE
 from tidemark.operators.alerts import expansion_alerts
+from tidemark.sources.shared_files import read_text
+from tidemark.streaming.batch_log import BatchLog
 
 MESSAGE_SCHEMA = (
     "event_id string, event_type string, customer_id string, user_id string, feature string, `timestamp` string, "
@@ -40,6 +43,7 @@ ALERT_SCHEMA = (
     "customer_id string, alert_type string, severity string, owner string, status string, "
     "reason string, recommended_action string, source string, metadata string"
 )
+OPEN_ALERT_SCHEMA = "customer_id string, alert_type string, status string, source_event string"
 
 
 def kafka_messages(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -114,36 +118,45 @@ def ingest_batch(messages: DataFrame, stored: DataFrame) -> DataFrame:
     return first_deliveries(usable(parse_messages(messages))).join(stored.select("event_id"), "event_id", "left_anti")
 
 
-def _other_batches(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
-    """What earlier batches stored at ``path``; empty before the first one."""
-    try:
-        table = spark.read.schema(f"{schema}, batch_id bigint").option("basePath", path).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-    return table.filter(F.col("batch_id") != batch_id).drop("batch_id")
-
-
 def _source_event(metadata: str = "metadata") -> Column:
     return F.get_json_object(metadata, "$.event_id").alias("source_event")
 
 
-def known_alerts(raised: DataFrame, stored: DataFrame, own_events: DataFrame) -> DataFrame:
-    """Alerts that can suppress a new one.
+def unsettled(raised: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Of the job's open alerts, those that the platform's alert table ``stored``
+    does not show as settled; all of them where there is no such table."""
+    if stored is None:
+        return raised
+    settled = stored.filter(F.col("status") != "Open").select(_source_event())
+    return raised.join(settled, "source_event", "left_anti")
+
+
+def known_alerts(raised: DataFrame, stored: DataFrame | None, own_events: DataFrame) -> DataFrame:
+    """Alerts that can suppress one of a batch's own.
 
-    ``raised`` are the job's alerts of other batches, all written as open;
-    ``stored`` is the platform's alert table as it stands.  A raised alert that
-    was settled there no longer counts, and a stored alert that this very batch
-    raised before a replay must not suppress itself.
+    ``raised`` are the job's open alerts of earlier batches; ``stored`` is the
+    platform's alert table as it stands.  A raised alert that was settled there
+    no longer counts, and a stored alert that this very batch raised before a
+    replay must not suppress itself.  Only customers of the batch matter: both
+    sides are cut down to them before anything is shuffled.
     """
-    current = stored.select(F.col("customer_id").cast("string"), "alert_type", "status", _source_event())
-    settled = current.filter(F.col("status") != "Open").select("source_event")
-    unsettled = raised.select("customer_id", "alert_type", "status", _source_event()).join(
-        settled, "source_event", "left_anti"
+    customers = own_events.select(F.col("customer_id").cast("string")).distinct()
+    known = unsettled(raised.join(customers, "customer_id", "left_semi"), stored)
+    if stored is not None:
+        current = stored.select(F.col("customer_id").cast("string"), "alert_type", "status", _source_event())
+        own = own_events.select(F.col("event_id").alias("source_event"))
+        theirs = current.join(customers, "customer_id", "left_semi").join(own, "source_event", "left_anti")
+        known = known.unionByName(theirs)
+    return known.drop("source_event")
+
+
+def _logs(spark: SparkSession, folder: str) -> tuple[BatchLog, BatchLog, BatchLog]:
+    """Events, alerts, and of the alerts what is needed to suppress others."""
+    return (
+        BatchLog(spark, f"{folder}/live_events", EVENT_SCHEMA),
+        BatchLog(spark, f"{folder}/expansion_alerts", ALERT_SCHEMA),
+        BatchLog(spark, f"{folder}/open_alerts", OPEN_ALERT_SCHEMA),
     )
-    own = own_events.select(F.col("event_id").alias("source_event"))
-    return unsettled.unionByName(current.join(own, "source_event", "left_anti")).drop("source_event")
 
 
 def start_live_events(
@@ -166,12 +179,13 @@ def start_live_events(
       * ``state``: against keyed state, exact for all time, one lookup per
         event however long the history.  Copies of an id within a batch meet
         in one task, so bound the batches (``maxOffsetsPerTrigger``);
-      * ``sink``: against the ids stored so far, reading that column for every
-        batch.  Copies combine before the shuffle, so it suits a backlog taken
-        in as one batch, and it holds after the checkpoint was lost or reset;
+      * ``sink``: against the ids stored so far.  Their column is read for every
+        batch, but only ids that the batch has are shuffled.  Copies combine
+        before the shuffle, so it suits a backlog taken in as one batch, and it
+        holds after the checkpoint was lost or reset;
       * ``watermark``: as ``state``, but ids are forgotten after ``horizon``.
     """
-    events_path, alerts_path = f"{folder}/live_events", f"{folder}/expansion_alerts"
+    checkpoint = f"{folder}/_checkpoints/live_events"
     events = usable(parse_messages(messages))
     if dedupe == "state":
         events = events.dropDuplicates(["event_id"])
@@ -182,24 +196,28 @@ def start_live_events(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        stream = json.loads(read_text(session, f"{checkpoint}/metadata"))["id"]
+        event_log, alert_log, open_log = _logs(session, folder)
         new = batch
         if dedupe == "sink":
-            seen = _other_batches(session, events_path, EVENT_SCHEMA, batch_id).select("event_id")
-            new = first_deliveries(batch).join(seen, "event_id", "left_anti")
-        own_path = f"{events_path}/batch_id={batch_id}"
-        new.write.mode("overwrite").parquet(own_path)
-
-        own_events = session.read.schema(EVENT_SCHEMA).parquet(own_path)
-        known = _other_batches(session, alerts_path, ALERT_SCHEMA, batch_id)
-        if alerts is not None:
-            known = known_alerts(known, alerts(session), own_events)
-        expansion_alerts(own_events, known, trigger_feature).write.mode("overwrite").parquet(
-            f"{alerts_path}/batch_id={batch_id}"
-        )
+            first = first_deliveries(batch).persist()  # compared with the stored ids, then stored
+            stored = event_log.before(stream, batch_id).select("event_id")
+            new = first.join(stored.join(first.select("event_id"), "event_id", "left_semi"), "event_id", "left_anti")
+        own_events = event_log.store(new, stream, batch_id)
+        if dedupe == "sink":
+            first.unpersist()
+
+        current = alerts(session) if alerts is not None else None
+        triggers = own_events.filter(F.col("feature") == trigger_feature)
+        known = known_alerts(open_log.before(stream, batch_id), current, triggers)
+        raised = alert_log.store(expansion_alerts(own_events, known, trigger_feature), stream, batch_id)
+        # An alert without a customer suppresses none.
+        still_open = raised.filter(F.col("customer_id").isNotNull()).select("customer_id", "alert_type", "status", _source_event())
+        open_log.store(still_open, stream, batch_id, on_fold=lambda rows: unsettled(rows, current))
 
     return (
         events.writeStream.foreachBatch(store)
-        .option("checkpointLocation", f"{folder}/_checkpoints/live_events")
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "5 seconds"}))
         .start()
     )
@@ -218,11 +236,11 @@ def start_dead_letters(messages: DataFrame, folder: str, **trigger) -> Streaming
 
 
 def stored_events(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(EVENT_SCHEMA).parquet(f"{folder}/live_events/batch_id=*")
+    return _logs(spark, folder)[0].rows()
 
 
 def stored_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(ALERT_SCHEMA).parquet(f"{folder}/expansion_alerts/batch_id=*")
+    return _logs(spark, folder)[1].rows()
 
 
 def not_yet_stored(raised: DataFrame, stored: DataFrame) -> DataFrame:
