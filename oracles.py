@@ -469,6 +469,7 @@ ORACLES = {
     ),
     "silver_quarantine": _sql("SELECT *, 'amount' AS failed_columns FROM raw_invoices WHERE amount = 'n/a'"),
     "flag_valid_events": _sql("SELECT * FROM usage_events"),
+    "flag_valid_events_stored": _sql("SELECT * FROM usage_events"),
     "stage_customers": _sql("SELECT account_id AS customer_id, industry, size, region, owner FROM accounts"),
     "stage_users": _sql("SELECT user_id, account_id AS customer_id, role, created_at FROM app_users"),
     "stage_product_events": _sql("SELECT * FROM usage_events"),

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.joins import hot_keys, salt_rows, salted_join
 from tidemark.operators import marts, quality
-from tidemark.operators.events import flag_valid_events
+from tidemark.operators.events import flag_and_enrich, flag_valid_events
+from tidemark.sources import by_user
 from tidemark.sources.driver_tables import DriverTables
 
 ROWS = 300_000
@@ -58,6 +59,41 @@ def test_flagging_keeps_every_event(spark, tiny_thresholds):
     assert sum(n for _, n in result.values()) == ROWS
 
 
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_event_joins_split_hot_users_and_push_filters(spark, tiny_thresholds, tmp_path):
+    hot_events(spark).write.parquet(f"{tmp_path}/events")
+    events = spark.read.parquet(f"{tmp_path}/events")
+    grouped = people(spark).groupBy("user_id").agg(F.min("created_at").alias("created_at"), F.min("account_id").alias("account_id"))
+    late = F.col("event_timestamp") > F.lit("2023-11-15").cast("timestamp_ntz")
+    for flagged in (flag_valid_events(events, grouped), flag_and_enrich(events, grouped)):
+        plan = executed(flagged.filter(late & F.col("is_valid_event")).agg(F.count(F.lit(1)), F.max("feature")))
+        assert "SortMergeJoin(skew=true)" in plan
+        assert "GreaterThan(event_timestamp" in plan  # in the scan's pushed filters
+    early = quality.dq_events_before_creation(events, grouped)
+    assert "SortMergeJoin(skew=true)" in executed(early) and rows(early, "actual_value") == [(ROWS // 2,)]
+
+
+def test_stored_by_user_joins_without_a_shuffle(spark, tiny_thresholds, tmp_path):
+    events = hot_events(spark).withColumn("user_id", F.when(F.col("user_id") % 5 != 1, F.col("user_id")))
+    by_user.store_by_user(events, people(spark), "skewed", str(tmp_path), buckets=16)
+    stored = by_user.stored_flags(spark, "skewed")
+    late = F.col("event_timestamp") > F.lit("2023-11-15").cast("timestamp_ntz")
+    plan = executed(stored.filter(late).select("event_id", "is_valid_event"))
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert "GreaterThan(event_timestamp" in plan
+    plain = flag_and_enrich(events, people(spark)).select(stored.columns)
+    assert stored.exceptAll(plain).count() == 0 and plain.exceptAll(stored).count() == 0
+    # No bucket holds much more than its share, though one user and NULL hold half of all.
+    sizes = spark.table("skewed_events").groupBy(F.pmod(F.hash("user_id", "slot"), F.lit(16)).alias("bucket")).count()
+    assert sizes.agg(F.max("count")).first()[0] < 4 * ROWS // 16
+    for name in ("skewed_events", "skewed_users"):
+        spark.sql(f"DROP TABLE {name}")
+
+
 def test_quality_join_counts_every_event(spark, tiny_thresholds):
     early = quality.dq_events_before_creation(hot_events(spark), people(spark))
     assert rows(early, "actual_value") == [(ROWS // 2,)]

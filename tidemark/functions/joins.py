@@ -1,8 +1,12 @@
 """Joining a large table to a keyed one when few keys hold most of the rows.
 
-Spark splits oversized join partitions by itself only where both sides come
-straight from a shuffle.  A side that was grouped by the join key does not,
-so the joins against such sides spread their hot keys explicitly.
+Spark splits oversized join partitions by itself, at run time and from measured
+sizes, but only where both sides come straight from a shuffle.  A side that was
+grouped by the join key does not: it is joined where it lies.  ``one_per_key``
+groups so that the join shuffles the groups once more, which is cheap and leaves
+Spark free to split; filters on the large side reach its scan, and a side that
+turns out small is broadcast.  ``salted_join`` spreads hot keys explicitly, for
+rows that are to be stored that way.
 """
 
 from __future__ import annotations
@@ -13,6 +17,13 @@ from pyspark.sql import functions as F
 PIECES_PER_PARTITION = 4
 
 
+def one_per_key(df: DataFrame, key: str, *aggregates: Column) -> DataFrame:
+    """(key, aggregates) with one row per key, from which a join on the key
+    shuffles anew: the rows lie grouped by a struct around the key."""
+    grouped = df.groupBy(F.struct(key).alias("_key")).agg(*aggregates)
+    return grouped.select(F.col("_key")[key].alias(key), *[name for name in grouped.columns if name != "_key"])
+
+
 def _pieces(df: DataFrame) -> int:
     """How finely the rows should divide: a few pieces per shuffle partition."""
     return PIECES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed_values import CORE_MESSAGE, MODEL_CONTRACTS, QUALITY_CHECKS
-from tidemark.functions.joins import salted_join
 
 RESULT_SCHEMA = (
     "dq_id int, check_name string, table_name string, check_type string, status string, "
@@ -74,12 +73,21 @@ def _orphans(child: DataFrame, parent: DataFrame, on: str) -> DataFrame:
     )
 
 
+def _dated_users(users: DataFrame) -> DataFrame:
+    """(user_id, created_at, copies) in a form that leaves Spark free to split
+    the events of busy users in a join."""
+    user = F.struct("user_id").alias("_user")
+    copies = users.groupBy(user, "created_at").agg(F.count(F.lit(1)).alias("copies"))
+    return copies.select(F.col("_user.user_id").alias("user_id"), "created_at", "copies")
+
+
 def _event_profile(events: DataFrame, users: DataFrame) -> DataFrame:
-    """orphans and early events, from one join of events to users."""
-    known = users.select("user_id", "created_at", F.lit(True).alias("known"))
-    return salted_join(events.select("user_id", "event_timestamp"), known, "user_id").agg(
-        F.count_if(F.col("known").isNull()).alias("orphans"),
-        F.count_if(F.col("event_timestamp") < F.col("created_at")).alias("early"),
+    """orphans and early events, from one join of events to users; an event that
+    is early for several rows of its user counts for each."""
+    early = F.col("event_timestamp") < F.col("created_at")
+    return events.select("user_id", "event_timestamp").join(_dated_users(users), "user_id", "left").agg(
+        F.count_if(F.col("copies").isNull()).alias("orphans"),
+        F.coalesce(F.sum(F.when(early, F.col("copies"))), F.lit(0)).alias("early"),
     )
 
 
@@ -128,9 +136,7 @@ def dq_referential_check(child: DataFrame, parent: DataFrame, on: str, check_nam
 
 
 def dq_events_before_creation(events: DataFrame, users: DataFrame) -> DataFrame:
-    dated = salted_join(events.select("user_id", "event_timestamp"), users.select("user_id", "created_at"), "user_id", "inner")
-    early = dated.agg(F.count_if(F.col("event_timestamp") < F.col("created_at")).alias("early"))
-    return _results(early, _result("Product events before user creation", F.col("early")))
+    return _results(_event_profile(events, users), _result("Product events before user creation", F.col("early")))
 
 
 def dq_multiple_active(subscriptions: DataFrame) -> DataFrame:

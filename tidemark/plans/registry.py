@@ -13,6 +13,7 @@ from tidemark.operators import alerts, churn, churn_model, forecast, marts, qual
 from tidemark.operators.events import enrich_events_with_account, flag_valid_events
 from tidemark.plans.marts import all_marts, churn_input, churn_patterns, health_mart, staged
 from tidemark.session import cut_lineage, fresh_folder, prepare
+from tidemark.sources import by_user
 from tidemark.sources.csv_layers import TYPED_TABLES, bronze_ingest, silver_typed
 from tidemark.sources.driver_tables import LIVE_TRIGGER, DriverTables
 from tidemark.streaming import live_events
@@ -153,6 +154,14 @@ def _live_slices(t: Inputs) -> str:
     return folder
 
 
+def _stored_flags(t: Inputs) -> DataFrame:
+    """Events and users stored by user, joined where they lie."""
+    folder = fresh_folder(t.spark, "by-user")
+    name = "by_user_" + folder[-32:]
+    by_user.store_by_user(t.unflagged_events(), t.users(), name, folder)
+    return by_user.stored_flags(t.spark, name).drop("customer_id")
+
+
 def _live_batch(t: Inputs) -> DataFrame:
     """Clicks are already stored; the batch delivers every event again."""
     stored = t.raw("events").filter(F.col("event_type") == "click").select(F.col("event_id").cast("string"))
@@ -311,6 +320,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "silver_typed": lambda t: silver_typed(_raw_invoices(t), TYPED_TABLES["invoices"])[0],
     "silver_quarantine": _quarantined,
     "flag_valid_events": lambda t: flag_valid_events(t.unflagged_events(), t.users()),
+    "flag_valid_events_stored": _stored_flags,
     "stage_customers": lambda t: staging.stage_customers(t.accounts()),
     "stage_users": lambda t: staging.stage_users(t.users()),
     "stage_product_events": lambda t: staging.stage_product_events(t.product_events()),
