@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from tidemark.functions import fixed_values as fixed
+from tidemark.sources.csv_layers import TYPED_TABLES
 
 # Account that owns a user; also used for tickets and live events.
 _OWNER = "CASE WHEN user_id % 4 < 2 THEN user_id - user_id % 4 ELSE user_id END"
@@ -707,3 +708,64 @@ ORACLES = {
         """SELECT event_id, user_id, feature, event_timestamp, customer_id FROM star_usage"""
     ),
 }
+
+
+# ---- whole layers ---------------------------------------------------------------
+
+_PARTS_OF = {"accounts": "accounts", "users": "app_users", "product_events": "usage_events", "subscriptions": "subs", "invoices": "invoices", "support": "tickets", "dim_plan": "plans"}
+
+
+def _spoilt(spec: dict) -> tuple[str, str]:
+    """(column, condition) of the cells that an export of the table spoils."""
+    column = [name for name, (_, kind) in spec.items() if kind != "string"][-1]
+    return column, f"({next(iter(spec))} % 50 = 7 AND {column} IS NOT NULL)"
+
+
+def _cells(name: str, spec: dict, where: str = "TRUE", more: str = "") -> str:
+    column, fault = _spoilt(spec)
+    cells = []
+    for each, (_, kind) in spec.items():
+        text = f"strftime({each}, '%Y-%m-%d %H:%M:%S.%f')" if kind.startswith("timestamp") else f"CAST({each} AS VARCHAR)"
+        text = f"CASE WHEN {fault} THEN 'no ' || {text} ELSE {text} END" if each == column else text
+        cells.append(f"coalesce({text}, '')")
+    joined = " || '|' || ".join(cells)
+    return f"SELECT '{name}' AS table_name, {joined} AS cells{more} FROM {_PARTS_OF[name]} WHERE {where}"
+
+
+def _positions(order: str, body: str) -> str:
+    return f"SELECT row_number() OVER (ORDER BY {order}) AS position, * FROM ({body})"
+
+
+ORACLES |= {
+    "bronze_layer": _sql("\nUNION ALL\n".join(_cells(name, spec) for name, spec in TYPED_TABLES.items())),
+    "quarantine_layer": _sql(
+        "\nUNION ALL\n".join(
+            _cells(name, spec, _spoilt(spec)[1], f", '{_spoilt(spec)[0]}' AS failed_columns") for name, spec in TYPED_TABLES.items()
+        )
+    ),
+    **{
+        f"silver_typed_{name}": _sql(f"SELECT {', '.join(spec)} FROM {_PARTS_OF[name]} WHERE NOT {_spoilt(spec)[1]}")
+        for name, spec in TYPED_TABLES.items()
+        if name not in ("invoices", "dim_plan")
+    },
+    "nonempty_gate_bronze": ORACLES["nonempty_gate"],
+    "nonempty_gate_star": "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, count(*) > 0 AS ok FROM ({ORACLES['star_' + name]})"
+        for name in fixed.STAR_TABLES
+    ),
+    "dq_observed_checks": _sql(_checks(kinds=("NULL", "VOLUME"))),
+    "dq_report_positions": _sql(
+        _positions("CASE status WHEN 'FAIL' THEN 1 WHEN 'WARN' THEN 2 ELSE 3 END, check_name", _SUITE)
+    ),
+    "dq_report_inserted": _sql(_positions("dq_id", _SUITE)),
+    "forecast_listing_positions": _sql(_positions("forecast_month", "SELECT * FROM forecasts"), **_ALL),
+    "short_series": _sql(
+        f"""SELECT CAST(customer_id AS VARCHAR) AS segment, count(DISTINCT date_trunc('month', date_key)) AS months,
+                   CAST(sum(amount) AS DOUBLE) AS monthly_revenue
+            FROM star_billing WHERE status = 'Paid' GROUP BY customer_id HAVING months < {fixed.MINIMUM_MONTHS}"""
+    ),
+    "undated_paid_revenue": _sql(
+        """SELECT count(*) AS invoices, CAST(sum(amount) AS DOUBLE) AS amount
+           FROM star_billing WHERE status = 'Paid' AND invoice_id % 10 = 0"""
+    ),
+}

@@ -8,9 +8,12 @@ from conftest import EVENTS, INVOICES, PLAN_ROWS, PLANS, SUBSCRIPTIONS, T0, USER
 from pyspark.sql import functions as F
 
 from tidemark.operators import star
+from tidemark.operators.quality import QualityGateError, counted_gate, observed_checks
 from tidemark.plans import daily
 from tidemark.plans.tables import append, publish
-from tidemark.sources.csv_layers import TYPED_TABLES, bronze_ingest, silver_typed
+from tidemark.sources.csv_layers import TYPED_TABLES, bronze_ingest, bronze_table, malformed_lines, silver_typed
+from tidemark.sources.shared_files import names_in
+from tidemark.sources.stored import current_counts, current_table, observed_write, replace_table
 
 
 def test_bronze_keeps_text_and_replaces(spark, tmp_path):
@@ -127,8 +130,54 @@ def test_malformed_lines_and_rounded_amounts_are_kept_apart(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a,b,c\n1,x,2\n1,x,2,EXTRA,EXTRA2\n2,y\n3,,100.239\n4,z,100.2\n")
     raw = bronze_ingest(spark, str(tmp_path / "t.csv"), str(tmp_path / "raw"))
     assert rows(raw, "a", "b", "c") == [("1", "x", "2"), ("3", None, "100.239"), ("4", "z", "100.2")]
-    bad = spark.read.parquet(str(tmp_path / "raw_malformed"))
+    bad = malformed_lines(spark, str(tmp_path / "raw"))
+    assert current_counts(spark, str(tmp_path / "raw")) == {"row_count": 5, "good_rows": 3, "malformed_rows": 2}
     assert rows(bad, "malformed_line") == [("1,x,2,EXTRA,EXTRA2",), ("2,y",)]
     typed, quarantined = silver_typed(raw, {"a": ("a", "bigint"), "c": ("c", "decimal(18,2)")})
     assert [row[0] for row in rows(typed, "a")] == [1, 4]
     assert rows(quarantined, "a") == [("3",)]
+
+
+def test_a_failing_load_leaves_the_old_rows(spark, tmp_path):
+    csv, table = tmp_path / "a.csv", str(tmp_path / "bronze")
+    csv.write_text("id,name\n1,x\nbroken\n")
+    bronze_ingest(spark, str(csv), table)
+    broken = current_table(spark, table).withColumn("name", F.raise_error(F.lit("midway")).cast("string"))
+    with pytest.raises(Exception, match="midway"):
+        replace_table(broken, table)
+    assert rows(bronze_table(spark, table)) == [("1", "x")] and malformed_lines(spark, table).count() == 1
+    csv.write_text("name,id\nx,1\n")
+    with pytest.raises(Exception, match="header"):  # other columns than those it is told
+        bronze_ingest(spark, str(csv), table, columns=["id", "name"])
+    assert rows(bronze_table(spark, table)) == [("1", "x")]
+    for value in "234":
+        csv.write_text(f"id,name\n{value},y\n")
+        bronze_ingest(spark, str(csv), table)
+    assert rows(bronze_table(spark, table)) == [("4", "y")]
+    assert sum(name.startswith("version-") for name in names_in(spark, table)) <= 3
+
+
+def test_an_empty_csv_is_an_empty_table(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name\n")
+    loaded = bronze_ingest(spark, str(tmp_path / "a.csv"), str(tmp_path / "raw"))
+    assert loaded.columns == ["id", "name"] and loaded.count() == 0
+    assert current_counts(spark, str(tmp_path / "raw"))["good_rows"] == 0
+    with pytest.raises(FileNotFoundError):
+        current_table(spark, str(tmp_path / "none"))
+
+
+def test_counts_come_with_the_write(spark, tmp_path):
+    df = spark.range(0, 1000, 1, 7).withColumn("key", F.when(F.col("id") % 10 != 0, F.col("id")))
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("counted", "")
+    counts = observed_write(df, lambda rows: rows.write.parquet(str(tmp_path / "t")), null_keys=F.count_if(F.col("key").isNull()))
+    counted_gate(spark, {"users": counts["row_count"]})
+    assert len(jobs.getJobIdsForGroup("counted")) == 1  # the write itself
+    spark.sparkContext._jsc.clearJobGroup()
+    assert counts == {"row_count": 1000, "null_keys": 100}
+    assert observed_write(df.limit(0), lambda rows: rows.write.parquet(str(tmp_path / "e")), null_keys=F.count_if(F.col("key").isNull())) == {"row_count": 0, "null_keys": 0}
+    checks = by(observed_checks(spark, {"users": counts}), "check_name")
+    assert {name: (row.status, row.actual_value) for name, row in checks.items()} == {
+        "Users user_id NULL check": ("FAIL", 100), "Users minimum volume": ("PASS", 1000)}
+    with pytest.raises(QualityGateError, match="support"):
+        counted_gate(spark, {"users": 1, "support": 0})

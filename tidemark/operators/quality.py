@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed_values import CORE_MESSAGE, MODEL_CONTRACTS, QUALITY_CHECKS
@@ -256,11 +256,30 @@ def nonempty_gate(tables: dict[str, DataFrame], *, fail: bool = True) -> DataFra
         [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
          for name, df in tables.items()],
     )
-    rows = [(row["table_name"], row["row_count"], row["row_count"] > 0) for row in counts.collect()]
+    found = {row["table_name"]: row["row_count"] for row in counts.collect()}
+    return counted_gate(counts.sparkSession, found, fail=fail)
+
+
+def counted_gate(spark: SparkSession, counts: dict[str, int], *, fail: bool = True) -> DataFrame:
+    """The same from counts observed while the layer was written: runs no job."""
+    rows = [(name, count, count > 0) for name, count in counts.items()]
     empty = [name for name, _, ok in rows if not ok]
     if fail and empty:
         raise QualityGateError(f"empty tables: {', '.join(empty)}")
-    return counts.sparkSession.createDataFrame(rows, "table_name string, row_count bigint, ok boolean")
+    return spark.createDataFrame(rows, "table_name string, row_count bigint, ok boolean")
+
+
+def observed_checks(spark: SparkSession, counts: dict[str, dict[str, int]]) -> DataFrame:
+    """The volume checks and NULL checks of the stored tables, from the counts
+    (``row_count`` and ``null_keys``) that their writes observed: runs no job."""
+    measured = spark.range(1)
+    results = []
+    for name, (_, table, kind, _, _, _) in ((spec[0], spec) for spec in QUALITY_CHECKS):
+        if kind == "VOLUME" and table in counts:
+            results.append(_result(name, F.lit(counts[table]["row_count"])))
+        elif kind == "NULL" and table in counts:
+            results.append(_result(name, F.lit(counts[table]["null_keys"])))
+    return _results(measured, *results)
 
 
 # ---- reports over stored results ---------------------------------------------

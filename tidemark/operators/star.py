@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import hundredth_hours
 from tidemark.operators.events import enrich_events_with_account, flag_and_enrich
+from tidemark.sources.stored import observed_write
 
 
 def dim_customer(accounts: DataFrame) -> DataFrame:
@@ -99,11 +100,13 @@ def fact_support(support: DataFrame) -> DataFrame:
     )
 
 
-def write_fact(fact: DataFrame, path: str) -> None:
-    """Overwrite a fact, one folder per month, for date-pruned reads.
+def write_fact(fact: DataFrame, path: str) -> dict[str, int]:
+    """Overwrite a fact, one folder per month, for date-pruned reads; returns
+    its row count, observed on the way.
 
     Rows are grouped by day, not by month, before the write: a month then
     arrives in up to 31 tasks, and AQE splits a day that is still too big.
     """
     keyed = fact.withColumn("month_key", F.trunc("date_key", "month"))
-    keyed.hint("rebalance", "month_key", "date_key").write.mode("overwrite").partitionBy("month_key").parquet(path)
+    dealt = keyed.hint("rebalance", "month_key", "date_key")
+    return observed_write(dealt, lambda rows: rows.write.mode("overwrite").partitionBy("month_key").parquet(path))

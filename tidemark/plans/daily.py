@@ -13,12 +13,13 @@ from tidemark.operators import alerts as alert_rules
 from tidemark.operators import churn, churn_model
 from tidemark.operators import forecast as forecasting
 from tidemark.operators.events import flag_valid_events
-from tidemark.operators.quality import dq_suite, nonempty_gate, raise_on_failures, run_core_checks, schema_contracts
+from tidemark.operators.quality import counted_gate, dq_suite, raise_on_failures, run_core_checks, schema_contracts
 from tidemark.operators.star import write_fact
 from tidemark.plans.marts import all_marts, churn_input, staged, star_schema
 from tidemark.plans.tables import append, publish
 from tidemark.session import cut_lineage, prepare
 from tidemark.sources.csv_layers import TYPED_TABLES, bronze_ingest, silver_typed
+from tidemark.sources.stored import current_counts, observed_write
 from tidemark.streaming.live_events import not_yet_stored, stored_alerts
 
 EMPTY_ALERTS = (
@@ -28,37 +29,41 @@ EMPTY_ALERTS = (
 )
 
 
-def load_raw(spark: SparkSession, csv_folder: str, work: str) -> dict[str, DataFrame]:
-    return {
-        name: bronze_ingest(spark, f"{csv_folder}/{name}.csv", f"{work}/bronze/{name}") for name in TYPED_TABLES
-    }
+def _overwrite(path: str):
+    return lambda rows: rows.write.mode("overwrite").parquet(path)
 
 
-def load_typed(raw: dict[str, DataFrame], work: str) -> dict[str, DataFrame]:
-    """Write each typed table once, with its quarantine; marts read the files."""
+def load_raw(spark: SparkSession, csv_folder: str, work: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The raw tables, and how many rows each got."""
+    raw = {name: bronze_ingest(spark, f"{csv_folder}/{name}.csv", f"{work}/bronze/{name}") for name in TYPED_TABLES}
+    return raw, {name: current_counts(spark, f"{work}/bronze/{name}")["good_rows"] for name in TYPED_TABLES}
+
+
+def load_typed(raw: dict[str, DataFrame], work: str) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
+    """Write each typed table once, with its quarantine; marts read the files.
+    Returns the tables, and the rows and missing keys counted by the writes."""
     spark = next(iter(raw.values())).sparkSession
-    typed = {}
+    typed, counts = {}, {}
     for name, spec in TYPED_TABLES.items():
         good, bad = silver_typed(raw[name], spec)
         bad.write.mode("overwrite").parquet(f"{work}/quarantine/{name}")
         if name == "product_events":
             good = flag_valid_events(good, typed["users"])
-        good.write.mode("overwrite").parquet(f"{work}/silver/{name}")
+        key = F.col(next(iter(spec)))
+        counts[name] = observed_write(good, _overwrite(f"{work}/silver/{name}"), null_keys=F.count_if(key.isNull()))
         typed[name] = spark.read.parquet(f"{work}/silver/{name}")
-    return typed
+    return typed, counts
 
 
-def write_star(tables: dict[str, DataFrame], work: str) -> dict[str, DataFrame]:
+def write_star(tables: dict[str, DataFrame], work: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """The stored star schema, and how many rows each table got."""
     spark = tables["accounts"].sparkSession
-    stored = {}
+    stored, counts = {}, {}
     for name, df in star_schema(tables).items():
         path = f"{work}/analytics/{name}"
-        if name.startswith("fact_"):
-            write_fact(df, path)
-        else:
-            df.write.mode("overwrite").parquet(path)
+        counts[name] = (write_fact(df, path) if name.startswith("fact_") else observed_write(df, _overwrite(path)))["row_count"]
         stored[name] = spark.read.parquet(path)
-    return stored
+    return stored, counts
 
 
 def alert_table(spark: SparkSession) -> DataFrame:
@@ -149,26 +154,27 @@ def store_forecast(fact_billing: DataFrame, folder: str, at: datetime) -> DataFr
 
 
 def run_daily(
-    spark: SparkSession, csv_folder: str, work: str, at: datetime, quality_mode: str = "replace"
+    spark: SparkSession, csv_folder: str, work: str, at: datetime, quality_mode: str = "replace", live_folder: str | None = None
 ) -> dict[str, DataFrame]:
     """Everything from CSV to alerts and forecast below the shared folder ``work``.
 
     Each layer is written before the next reads it, and the gates between them
     raise on empty tables or failed core checks.  ``quality_mode="append"`` keeps
-    the check results of earlier days.
+    the check results of earlier days.  Alerts that the live job raised below
+    ``live_folder`` are taken in.
     """
     prepare(spark)
-    raw = load_raw(spark, csv_folder, work)
-    nonempty_gate({name: raw[name] for name in SOURCE_TABLES})
-    tables = load_typed(raw, work)
-    nonempty_gate({name: tables[name] for name in SOURCE_TABLES})
+    raw, counts = load_raw(spark, csv_folder, work)
+    counted_gate(spark, {name: counts[name] for name in SOURCE_TABLES})
+    tables, typed_counts = load_typed(raw, work)
+    counted_gate(spark, {name: typed_counts[name]["row_count"] for name in SOURCE_TABLES})
 
     out = {}
     for name, df in all_marts(staged(tables)).items():
         df.write.mode("overwrite").parquet(f"{work}/marts/{name}")
         out[name] = spark.read.parquet(f"{work}/marts/{name}")
-    stars = write_star(tables, work)
-    nonempty_gate({name: stars[name] for name in STAR_TABLES})
+    stars, counts = write_star(tables, work)
+    counted_gate(spark, {name: counts[name] for name in STAR_TABLES})
     out.update(stars)
 
     contracts = schema_contracts({**staged(tables), **{name: out[name] for name in all_marts(staged(tables))}})
@@ -181,6 +187,13 @@ def run_daily(
     raise_on_failures(core)
     out["data_quality_results"] = spark.table("data_quality_results")
     out["alerts"] = raise_alerts(tables, out["customer_health"], work, at)
+    if live_folder:
+        out["alerts"] = take_in_live_alerts(spark, live_folder, work, at)
     out["revenue_forecast"] = store_forecast(stars["fact_billing"], work, at)
+    undated = forecasting.undated_paid_revenue(stars["fact_billing"])
+    by_region = forecasting.segmented_paid_revenue(stars["fact_billing"], stars["dim_customer"], "region")
+    for name, df in (("undated_paid_revenue", undated), ("short_series", forecasting.short_series(by_region))):
+        df.write.mode("overwrite").parquet(f"{work}/marts/{name}")
+        out[name] = spark.read.parquet(f"{work}/marts/{name}")
     out["open_alerts"] = alert_rules.open_alert_summary(out["alerts"])
     return out

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.fixed_values import CATEGORICAL_FEATURES, NUMERIC_FEATURES, SOURCE_TABLES
+from tidemark.functions.fixed_values import CATEGORICAL_FEATURES, NUMERIC_FEATURES, SOURCE_TABLES, STAR_TABLES
 from tidemark.operators import alerts, churn, churn_model, forecast, marts, quality, serving, staging, star
 from tidemark.operators.events import enrich_events_with_account, flag_valid_events
+from tidemark.plans.daily import load_raw, write_star
 from tidemark.plans.marts import all_marts, churn_input, churn_patterns, health_mart, staged
 from tidemark.session import cut_lineage, fresh_folder, prepare
 from tidemark.sources import by_user
 from tidemark.sources.csv_layers import TYPED_TABLES, bronze_ingest, silver_typed
 from tidemark.sources.driver_tables import LIVE_TRIGGER, DriverTables
+from tidemark.sources.stored import observed_write
 from tidemark.streaming import live_events
 
 AT = "2026-12-31 00:00:00"  # the fixed "now" of the queries
@@ -110,6 +113,85 @@ def _raw_invoices(t: Inputs) -> DataFrame:
     )
 
 
+def _texts(t: Inputs, name: str) -> DataFrame:
+    """A table as a CSV export shows it: all text, and in every fiftieth row its
+    last column that is no text has a word before its value."""
+    spec = TYPED_TABLES[name]
+    table = t.unflagged_events() if name == "product_events" else getattr(t, name)()
+    key = F.col(next(iter(spec)))
+    spoilt = [column for column, (_, kind) in spec.items() if kind != "string"][-1]
+    cells = []
+    for column, (raw, kind) in spec.items():
+        text = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS") if kind.startswith("timestamp") else F.col(column).cast("string")
+        if column == spoilt:
+            text = F.when(key % 50 == 7, F.concat(F.lit("no "), text)).otherwise(text)
+        cells.append(text.alias(raw))
+    return table.select(*cells)
+
+
+def _ingested(t: Inputs) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """All seven raw tables, loaded from CSV, and their counted rows."""
+    work = fresh_folder(t.spark, "raw-layer")
+    for name in TYPED_TABLES:
+        _texts(t, name).write.options(header=True, escape='"').csv(f"{work}/csv/{name}.csv")
+    return load_raw(t.spark, f"{work}/csv", work)
+
+
+def _cells(name: str, rows: DataFrame, *others: str) -> DataFrame:
+    """Rows of any table in one shape: its name, and its raw cells side by side."""
+    raw = [F.coalesce(column, F.lit("")) for column, _ in TYPED_TABLES[name].values()]
+    return rows.select(F.lit(name).alias("table_name"), F.concat_ws("|", *raw).alias("cells"), *others)
+
+
+def _bronze_layer(t: Inputs) -> DataFrame:
+    return reduce(DataFrame.unionByName, [_cells(name, rows) for name, rows in _ingested(t)[0].items()])
+
+
+def _quarantine_layer(t: Inputs) -> DataFrame:
+    bad = {name: silver_typed(_texts(t, name), spec)[1] for name, spec in TYPED_TABLES.items()}
+    named = {name: rows.withColumn("failed_columns", F.array_join("failed_columns", ",")) for name, rows in bad.items()}
+    return reduce(DataFrame.unionByName, [_cells(name, rows, "failed_columns") for name, rows in named.items()])
+
+
+def _bronze_gate(t: Inputs) -> DataFrame:
+    counts = _ingested(t)[1]
+    return quality.counted_gate(t.spark, {name: counts[name] for name in SOURCE_TABLES})
+
+
+def _star_gate(t: Inputs) -> DataFrame:
+    counts = write_star(t.silver(), fresh_folder(t.spark, "star"))[1]
+    return quality.counted_gate(t.spark, {name: counts[name] for name in STAR_TABLES})
+
+
+def _observed_checks(t: Inputs) -> DataFrame:
+    """NULL and volume checks from what writing the typed tables counted."""
+    folder, counts = fresh_folder(t.spark, "typed"), {}
+    for name in ("accounts", "users", "product_events", "subscriptions", "invoices"):
+        table = _unflagged_tables(t)[name]
+        key = F.col(next(iter(TYPED_TABLES[name])))
+        counts[name] = observed_write(table, lambda rows, at=f"{folder}/{name}": rows.write.parquet(at), null_keys=F.count_if(key.isNull()))
+    return quality.observed_checks(t.spark, counts)
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """A short ordered listing with each row's position, so that order shows."""
+    return rows.withColumn("_row", F.monotonically_increasing_id()).select(
+        F.row_number().over(Window.orderBy("_row")).alias("position"), *rows.columns
+    )
+
+
+def _short_accounts(t: Inputs) -> DataFrame:
+    """Accounts whose paid months are too few for a forecast of their own."""
+    billing = t.billing().withColumn("account", F.col("customer_id").cast("string"))
+    return forecast.short_series(forecast.monthly_paid_revenue(billing, "account"))
+
+
+def _undated(t: Inputs) -> DataFrame:
+    """Every tenth invoice has lost its date."""
+    lost = t.billing().withColumn("date_key", F.when(F.col("invoice_id") % 10 != 0, F.col("date_key")))
+    return forecast.undated_paid_revenue(lost)
+
+
 def _quarantined(t: Inputs) -> DataFrame:
     bad = silver_typed(_raw_invoices(t), TYPED_TABLES["invoices"])[1]
     return bad.withColumn("failed_columns", F.array_join("failed_columns", ","))
@@ -319,6 +401,13 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "bronze_ingest": _bronze_accounts,
     "silver_typed": lambda t: silver_typed(_raw_invoices(t), TYPED_TABLES["invoices"])[0],
     "silver_quarantine": _quarantined,
+    "bronze_layer": _bronze_layer,
+    "quarantine_layer": _quarantine_layer,
+    **{
+        f"silver_typed_{name}": lambda t, name=name: silver_typed(_texts(t, name), TYPED_TABLES[name])[0]
+        for name in TYPED_TABLES
+        if name not in ("invoices", "dim_plan")
+    },
     "flag_valid_events": lambda t: flag_valid_events(t.unflagged_events(), t.users()),
     "flag_valid_events_stored": _stored_flags,
     "stage_customers": lambda t: staging.stage_customers(t.accounts()),
@@ -338,6 +427,8 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "nonempty_gate": lambda t: quality.nonempty_gate(
         {name: df for name, df in _unflagged_tables(t).items() if name in SOURCE_TABLES}
     ),
+    "nonempty_gate_bronze": _bronze_gate,
+    "nonempty_gate_star": _star_gate,
     # marts
     "customer_usage": lambda t: marts.customer_usage(
         staging.stage_customers(t.accounts()), staging.stage_users(t.users()), t.product_events()
@@ -364,6 +455,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "dq_min_volume": _volume_checks,
     "dq_suite": _suite,
     "dq_core_gate": lambda t: quality.dq_core_gate(_unflagged_tables(t)),
+    "dq_observed_checks": _observed_checks,
+    "dq_report_positions": lambda t: _placed(quality.dq_report(_suite(t))),
+    "dq_report_inserted": lambda t: _placed(quality.dq_report(_suite(t), order="inserted")),
     "dq_summary": lambda t: quality.dq_summary(_suite(t)),
     "dq_report": lambda t: quality.dq_report(_suite(t)),
     "dq_pass_rate": lambda t: quality.dq_pass_rate(_suite(t)),
@@ -429,6 +523,9 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "revenue_forecast": _forecast,
     "revenue_forecast_by_region": lambda t: _forecast(t, t.regional_monthly()),
     "revenue_forecast_upsert": _forecast_upsert,
+    "forecast_listing_positions": lambda t: _placed(serving.forecast_listing(_forecast(t))),
+    "short_series": _short_accounts,
+    "undated_paid_revenue": _undated,
     # live events
     "live_events_ingest": lambda t: live_events.stored_events(t.spark, _live_stream(t)),
     "live_events_batch": _live_batch,

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.stored import current_table, replace_table
+
 MALFORMED = "malformed_line"
+PART = "_part"
 
 # Typed layer: target column -> (raw column, type).
 TYPED_TABLES = {
@@ -63,20 +66,34 @@ def bronze_ingest(
     """Replace the raw table at ``table_path`` with the CSV's rows, all text.
 
     Blank cells become NULL, nothing else does.  Lines with more or fewer cells
-    than the header go whole to ``<table_path>_malformed`` instead.  ``columns``
-    names the header; without it only the header line is read to learn it.
-    ``multiline`` allows line breaks inside quotes, at the price of reading each
-    file in one task.
+    than the header are kept whole beside the rows (``malformed_lines``).  The
+    CSV is parsed once for both, and both are there or neither: the table is
+    switched after they stand, and a failing job leaves the old one.  ``columns``
+    names the header, and each file's own must agree; without it the header line
+    is read to learn it.  ``multiline`` allows line breaks inside quotes, at the
+    price of reading each file in one task.
     """
-    reader = spark.read.options(header=True, nullValue="", escape='"', multiLine=multiline)
+    reader = spark.read.options(header=True, nullValue="", escape='"', multiLine=multiline, enforceSchema=False)
     if columns is None:
         columns = reader.option("inferSchema", False).csv(csv_path).columns
     text = ", ".join(f"`{name}` string" for name in (*columns, MALFORMED))
     lines = reader.option("columnNameOfCorruptRecord", MALFORMED).schema(text).csv(csv_path)
-    whole = F.col(MALFORMED).isNull()
-    lines.filter(whole).drop(MALFORMED).write.mode("overwrite").parquet(table_path)
-    lines.filter(~whole).write.mode("overwrite").parquet(f"{table_path}_malformed")
-    return spark.read.parquet(table_path)
+    bad = F.col(MALFORMED).isNotNull()
+    replace_table(
+        lines.withColumn(PART, F.when(bad, "malformed").otherwise("rows")), table_path, (PART,),
+        good_rows=F.count_if(~bad), malformed_rows=F.count_if(bad),
+    )
+    return bronze_table(spark, table_path)
+
+
+def bronze_table(spark: SparkSession, table_path: str) -> DataFrame:
+    """The rows of a raw table."""
+    return current_table(spark, table_path).filter(F.col(PART) == "rows").drop(PART, MALFORMED)
+
+
+def malformed_lines(spark: SparkSession, table_path: str) -> DataFrame:
+    """(malformed_line): the lines of its CSV that are no rows."""
+    return current_table(spark, table_path).filter(F.col(PART) == "malformed").select(MALFORMED)
 
 
 def _typed(raw: Column, kind: str) -> Column:
