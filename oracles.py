@@ -13,7 +13,31 @@ from tidemark.sources.csv_layers import TYPED_TABLES
 
 # Account that owns a user; also used for tickets and live events.
 _OWNER = "CASE WHEN user_id % 4 < 2 THEN user_id - user_id % 4 ELSE user_id END"
-_PRICE = "CASE plan WHEN 'Starter' THEN 100 WHEN 'Professional' THEN 250 WHEN 'Enterprise' THEN 500 ELSE 0 END"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _simple_case(column: str, values: dict, otherwise: str) -> str:
+    return f"CASE {column} {' '.join(f'WHEN {_quoted(key)} THEN {value}' for key, value in values.items())} ELSE {otherwise} END"
+
+
+def _ladder(column: str, compare: str, bands, floor) -> str:
+    """The first band whose bound holds decides."""
+    return f"CASE {' '.join(f'WHEN {column} {compare} {bound} THEN {value}' for bound, value in bands)} ELSE {floor} END"
+
+
+_PRICE = _simple_case("plan", fixed.PLAN_PRICES, "0")
+_STATUS = _ladder(
+    "points", ">=", [(fixed.HEALTHY_FROM * 100, _quoted(fixed.HEALTHY)), (fixed.WATCH_FROM * 100, _quoted(fixed.WATCH))], _quoted(fixed.AT_RISK)
+)
+_TIER = _ladder("churn_probability", ">=", [(fixed.HIGH_RISK_FROM, "'High'"), (fixed.MEDIUM_RISK_FROM, "'Medium'")], "'Low'")
+_POINTS = " + ".join(f"{name} * {weight}" for name, weight in fixed.HEALTH_WEIGHTS.items())
+_FAILED = "failed_invoices * 100 <= total_invoices"
+_BILLING = f"""CASE WHEN total_invoices = 0 THEN {fixed.BILLING_CLEAN}
+            WHEN failed_invoices > 0 AND {_FAILED} * {fixed.BILLING_RARE_SHARE} THEN {fixed.BILLING_RARE}
+            WHEN {_FAILED} * {fixed.BILLING_SOME_SHARE} THEN {fixed.BILLING_SOME} ELSE {fixed.BILLING_FLOOR} END"""
 
 
 def _pct(part: str, whole: str) -> str:
@@ -123,17 +147,12 @@ PARTS = {
                coalesce(paid_invoices, 0) AS paid_invoices, coalesce(failed_invoices, 0) AS failed_invoices
         FROM usage_mart LEFT JOIN subs_mart USING (customer_id) LEFT JOIN support_mart USING (customer_id)
              LEFT JOIN billing_mart USING (customer_id)""",
-    "health": """
-        SELECT *, CAST(points AS DOUBLE) / 100 AS health_score,
-               CASE WHEN points >= 8000 THEN 'Healthy' WHEN points >= 6000 THEN 'Watch' ELSE 'At Risk' END AS health_status
-        FROM (SELECT *, usage_score * 40 + support_score * 30 + billing_score * 30 AS points
-              FROM (SELECT *,
-                       CASE WHEN total_events < 5 THEN 0 WHEN total_events < 15 THEN 40 WHEN total_events < 30 THEN 60
-                            WHEN total_events < 50 THEN 80 ELSE 100 END AS usage_score,
-                       CASE WHEN avg_resolution_hours > 24 THEN 30 WHEN avg_resolution_hours > 16 THEN 60
-                            WHEN avg_resolution_hours > 8 THEN 80 ELSE 100 END AS support_score,
-                       CASE WHEN total_invoices = 0 THEN 100 WHEN failed_invoices * 4 > total_invoices THEN 30
-                            WHEN failed_invoices > 0 AND failed_invoices * 10 <= total_invoices THEN 80 ELSE 60 END AS billing_score
+    "health": f"""
+        SELECT *, CAST(points AS DOUBLE) / 100 AS health_score, {_STATUS} AS health_status
+        FROM (SELECT *, {_POINTS} AS points
+              FROM (SELECT *, {_ladder("total_events", ">=", fixed.USAGE_BANDS, fixed.USAGE_FLOOR)} AS usage_score,
+                       {_ladder("avg_resolution_hours", "<=", fixed.SUPPORT_BANDS, fixed.SUPPORT_FLOOR)} AS support_score,
+                       {_BILLING} AS billing_score
                     FROM health_parts))""",
     "revenue": f"""
         SELECT plan, active_subscriptions, active_customers, cancelled_subscriptions, active_mrr,
@@ -159,13 +178,13 @@ PARTS = {
         FROM daily d, monthly_users m
         WHERE m.feature = d.feature AND m.month_start = date_trunc('month', d.usage_date)""",
     "usage_feed": "SELECT * FROM usage_table ORDER BY usage_date DESC, feature LIMIT 100",
-    "sla": """
-        SELECT ticket_id, account_id AS customer_id, severity, created_at, resolved_at,
-               CAST(hundredths AS DOUBLE) / 100 AS resolution_hours, sla_hours,
-               coalesce(hundredths <= sla_hours * 100, FALSE) AS within_sla,
-               CASE WHEN resolved_at IS NULL THEN 'Unresolved' WHEN hundredths <= sla_hours * 100 THEN 'Within SLA'
-                    ELSE 'Breached SLA' END AS sla_status
-        FROM tickets LEFT JOIN (VALUES ('Critical', 4), ('High', 8), ('Medium', 24), ('Low', 48)) v(severity, sla_hours) USING (severity)""",
+    "sla": f"""
+        SELECT * EXCLUDE (hundredths), coalesce(hundredths <= sla_hours * 100, FALSE) AS within_sla,
+               CASE WHEN resolved_at IS NULL THEN '{fixed.UNRESOLVED}' WHEN hundredths <= sla_hours * 100 THEN '{fixed.WITHIN_SLA}'
+                    ELSE '{fixed.BREACHED_SLA}' END AS sla_status
+        FROM (SELECT ticket_id, account_id AS customer_id, severity, created_at, resolved_at, hundredths,
+                     CAST(hundredths AS DOUBLE) / 100 AS resolution_hours, {_simple_case("severity", fixed.SLA_HOURS, "NULL")} AS sla_hours
+              FROM tickets)""",
     # ---- star ------------------------------------------------------------------
     "star_usage": """
         SELECT event_id, e.user_id, u.account_id AS customer_id, feature, event_timestamp, is_valid_event,
@@ -178,42 +197,39 @@ PARTS = {
             SELECT CAST(event_timestamp AS DATE) AS d FROM usage_events UNION ALL SELECT CAST(due_date AS DATE) FROM invoices
             UNION ALL SELECT CAST(start_date AS DATE) FROM subs UNION ALL SELECT CAST(created_at AS DATE) FROM tickets)""",
     # ---- churn -------------------------------------------------------------------
-    "f_subs": """
-        SELECT account_id, count(*) AS subscription_count, max(start_date) AS latest_subscription_start,
-               avg(monthly_price) AS avg_plan_price, CAST(max(monthly_price) AS BIGINT) AS max_plan_price,
-               max(CAST(status = 'Cancelled' AS INTEGER)) AS churned
-        FROM subs LEFT JOIN plans ON plan_name = plan GROUP BY account_id""",
-    "f_usage": """
-        SELECT account_id, count(event_id) AS usage_events, count(DISTINCT feature) AS features_used
-        FROM app_users u LEFT JOIN (SELECT * FROM usage_events WHERE is_valid_event) e ON e.user_id = u.user_id
-        GROUP BY account_id""",
-    "f_support": """
-        SELECT account_id, count(*) AS support_ticket_count,
-               CAST(sum(epoch_us(resolved_at) - epoch_us(created_at)) AS DOUBLE) / count(*) / 3600000000 AS avg_resolution_hours
-        FROM tickets WHERE resolved_at IS NOT NULL GROUP BY account_id""",
-    "f_billing": """
-        SELECT account_id, count(*) AS invoice_count, count(*) FILTER (status = 'Failed') AS failed_invoice_count
-        FROM invoices GROUP BY account_id""",
+    "account_facts": """
+        SELECT account_id, 'plan' AS kind, start_date AS begun, monthly_price AS price, status = 'Cancelled' AS bad,
+               NULL AS feature, NULL AS micros
+        FROM subs LEFT JOIN plans ON plan_name = plan
+        UNION ALL SELECT account_id, 'bill', NULL, NULL, status = 'Failed', NULL, NULL FROM invoices
+        UNION ALL SELECT account_id, 'user', NULL, NULL, NULL, NULL, NULL FROM app_users
+        UNION ALL SELECT account_id, 'click', NULL, NULL, NULL, feature, NULL FROM usage_events JOIN app_users USING (user_id) WHERE is_valid_event
+        UNION ALL SELECT account_id, 'help', NULL, NULL, NULL, NULL, epoch_us(resolved_at) - epoch_us(created_at)
+        FROM tickets WHERE resolved_at IS NOT NULL""",
+    "measures": """
+        SELECT account_id, count(*) FILTER (kind = 'plan') AS subscription_count, max(begun) AS latest_subscription_start,
+               avg(price) AS avg_plan_price, CAST(max(price) AS BIGINT) AS max_plan_price,
+               CAST(bool_or(bad) FILTER (kind = 'plan') AS INTEGER) AS churned,
+               count(*) FILTER (kind = 'user') AS users, count(*) FILTER (kind = 'click') AS usage_events,
+               count(DISTINCT feature) AS features_used, count(micros) AS support_ticket_count,
+               CAST(sum(micros) AS DOUBLE) / nullif(count(micros), 0) / 3600000000 AS avg_resolution_hours,
+               count(*) FILTER (kind = 'bill') AS invoice_count, count(*) FILTER (kind = 'bill' AND bad) AS failed_invoice_count
+        FROM account_facts GROUP BY account_id""",
     "features": """
         SELECT account_id, industry, size, region, subscription_count, latest_subscription_start, avg_plan_price, max_plan_price,
-               coalesce(usage_events, 0) AS usage_events, coalesce(features_used, 0) AS features_used,
-               coalesce(support_ticket_count, 0) AS support_ticket_count,
-               coalesce(avg_resolution_hours, 0) AS avg_resolution_hours,
-               coalesce(invoice_count, 0) AS invoice_count, coalesce(failed_invoice_count, 0) AS failed_invoice_count,
-               coalesce(CAST(failed_invoice_count AS DOUBLE) / invoice_count, 0) AS failed_invoice_rate, churned
-        FROM accounts JOIN f_subs USING (account_id) LEFT JOIN f_usage USING (account_id)
-             LEFT JOIN f_support USING (account_id) LEFT JOIN f_billing USING (account_id)""",
+               usage_events, features_used, support_ticket_count, coalesce(avg_resolution_hours, 0) AS avg_resolution_hours,
+               invoice_count, failed_invoice_count,
+               CASE WHEN invoice_count > 0 THEN CAST(failed_invoice_count AS DOUBLE) / invoice_count ELSE 0 END AS failed_invoice_rate, churned
+        FROM accounts JOIN measures USING (account_id) WHERE subscription_count > 0""",
+    "patterns": """
+        SELECT a.*, churned, coalesce(usage_events, 0) AS usage_events, coalesce(features_used, 0) AS features_used,
+               coalesce(support_ticket_count, 0) AS support_ticket_count, coalesce(avg_resolution_hours, 0) AS avg_resolution_hours,
+               coalesce(failed_invoice_count, 0) AS failed_invoice_count, coalesce(invoice_count, 0) AS invoice_count
+        FROM accounts a LEFT JOIN measures USING (account_id)""",
     "model_rows": """
         SELECT * EXCLUDE (latest_subscription_start),
                datediff('day', latest_subscription_start, TIMESTAMP '2026-12-31') AS subscription_age_days
         FROM features""",
-    "patterns": """
-        SELECT a.*, churned, coalesce(usage_events, 0) AS usage_events, coalesce(features_used, 0) AS features_used,
-               coalesce(support_ticket_count, 0) AS support_ticket_count,
-               coalesce(avg_resolution_hours, 0) AS avg_resolution_hours,
-               coalesce(failed_invoice_count, 0) AS failed_invoice_count, coalesce(invoice_count, 0) AS invoice_count
-        FROM accounts a LEFT JOIN f_subs USING (account_id) LEFT JOIN f_usage USING (account_id)
-             LEFT JOIN f_support USING (account_id) LEFT JOIN f_billing USING (account_id)""",
     "label_quota": """
         SELECT churned, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, churned) <= train - sum(base) OVER () THEN 1 ELSE 0 END AS quota
         FROM (SELECT churned, train, train * n // total AS base, train * n % total AS rest
@@ -226,9 +242,9 @@ PARTS = {
     "scores": """
         SELECT account_id, churned, trouble / (trouble + 4) AS churn_probability
         FROM (SELECT *, CAST(failed_invoice_count * 3 + support_ticket_count + 1 AS DOUBLE) AS trouble FROM features)""",
-    "tiers": """
+    "tiers": f"""
         SELECT account_id AS customer_id, round_even(churn_probability, 4) AS churn_probability,
-               CASE WHEN churn_probability < 0.4 THEN 'Low' WHEN churn_probability < 0.7 THEN 'Medium' ELSE 'High' END AS risk_level
+               {_TIER} AS risk_level
         FROM scores""",
     "confusion": """
         SELECT count(*) FILTER (churned = 1 AND churn_probability > 0.5) AS tp, count(*) FILTER (churned = 0 AND churn_probability > 0.5) AS fp,
@@ -297,10 +313,6 @@ _MEASURES = {
 }
 
 
-def _quoted(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
-
-
 def _checks(*, kinds=None, names=None, core=False) -> str:
     """Result rows of the chosen checks."""
     rows = []
@@ -368,7 +380,7 @@ _HEALTH_ALERTS = _alert(
     "'High'",
     """'{"health_score":' || CAST(health_score AS DECIMAL(5,2)) || ',"usage_score":' || usage_score
        || ',"support_score":' || support_score || ',"billing_score":' || billing_score || '}'""",
-    "(SELECT * FROM health WHERE health_status = 'At Risk')",
+    f"(SELECT * FROM health WHERE health_status = '{fixed.AT_RISK}')",
 )
 _PAYMENT_ALERTS = _alert(
     fixed.PAYMENT_ALERT,
@@ -484,7 +496,7 @@ ORACLES = {
     ),
     "star_dim_customer": _sql("SELECT account_id AS customer_id, industry, size, region, owner FROM accounts"),
     "star_dim_user": _sql("SELECT user_id, account_id AS customer_id, role, created_at FROM app_users"),
-    "star_dim_plan": _sql("SELECT * FROM plans"),
+    "star_dim_plan": _sql("SELECT * FROM plans WHERE plan_name IN (SELECT plan FROM subs)"),
     "star_dim_date": _sql(
         """SELECT CAST(d AS DATE) AS date_key, CAST(year(d) AS INTEGER) AS year, CAST(quarter(d) AS INTEGER) AS quarter,
                   CAST(month(d) AS INTEGER) AS month, CAST(day(d) AS INTEGER) AS day, CAST(date_trunc('month', d) AS DATE) AS month_start
@@ -584,19 +596,18 @@ ORACLES = {
             FROM part LEFT JOIN (SELECT * FROM seed_alerts WHERE status = 'Open') ON alert_id = p_partkey"""
     ),
     "customer_actions": _sql(
-        """SELECT customer_id, CASE alert_type WHEN 'Payment Failure' THEN 'Billing Follow-up'
-                  WHEN 'Expansion Opportunity' THEN 'Expansion Outreach' ELSE 'Customer Success Outreach' END AS action_type,
-                  owner, reason AS notes, 'Created' AS status FROM seed_alerts"""
+        f"""SELECT customer_id, {_simple_case("alert_type", {kind: _quoted(text) for kind, text in fixed.FOLLOW_UPS.items()}, _quoted(fixed.DEFAULT_FOLLOW_UP))}
+                   AS action_type, owner, reason AS notes, 'Created' AS status FROM seed_alerts"""
     ),
     # KPIs and feeds
     "dashboard_kpis": _sql(
-        """SELECT CAST(sum(active_mrr) AS BIGINT) AS active_mrr, CAST(sum(active_arr) AS BIGINT) AS active_arr,
+        f"""SELECT CAST(sum(active_mrr) AS BIGINT) AS active_mrr, CAST(sum(active_arr) AS BIGINT) AS active_arr,
                   CAST(sum(active_customers) AS BIGINT) AS active_customers,
                   CAST(sum(active_subscriptions) AS BIGINT) AS active_subscriptions,
                   (SELECT count(*) FROM seed_alerts WHERE status = 'Open') AS open_alerts,
-                  (SELECT count(*) FROM health WHERE health_status = 'Healthy') AS healthy_customers,
-                  (SELECT count(*) FROM health WHERE health_status = 'Watch') AS watch_customers,
-                  (SELECT count(*) FROM health WHERE health_status = 'At Risk') AS at_risk_customers,
+                  (SELECT count(*) FROM health WHERE health_status = '{fixed.HEALTHY}') AS healthy_customers,
+                  (SELECT count(*) FROM health WHERE health_status = '{fixed.WATCH}') AS watch_customers,
+                  (SELECT count(*) FROM health WHERE health_status = '{fixed.AT_RISK}') AS at_risk_customers,
                   (SELECT count(DISTINCT account_id) FROM subs WHERE status = 'Active') AS active_customers_distinct
            FROM revenue"""
     ),
@@ -606,7 +617,7 @@ ORACLES = {
     ),
     "customer_health_lookup": _sql(
         f"""SELECT p_partkey AS customer_id, h.* EXCLUDE (customer_id),
-                   CASE WHEN h.customer_id IS NULL THEN 'Customer not found' END AS message
+                   CASE WHEN h.customer_id IS NULL THEN '{fixed.CUSTOMER_NOT_FOUND}' END AS message
             FROM part LEFT JOIN (SELECT {_HEALTH_COLUMNS} FROM health) h ON h.customer_id = p_partkey"""
     ),
     "health_watchlist": _sql(f"SELECT {_HEALTH_COLUMNS} FROM health ORDER BY health_score, customer_id LIMIT 10"),
@@ -625,10 +636,11 @@ ORACLES = {
     "live_event_feed": _sql("SELECT * EXCLUDE (sent_at) FROM live ORDER BY received_at DESC, event_id DESC LIMIT 20"),
     "forecast_listing": _sql("SELECT * FROM forecasts", **_ALL),
     # churn
-    "churn_subscription_features": _sql("SELECT * FROM f_subs"),
-    "churn_usage_features": _sql("SELECT * FROM f_usage"),
-    "churn_support_features": _sql("SELECT * FROM f_support"),
-    "churn_billing_features": _sql("SELECT * FROM f_billing"),
+    "churn_subscription_features": _sql("""SELECT account_id, subscription_count, latest_subscription_start, avg_plan_price, max_plan_price, churned
+           FROM measures WHERE subscription_count > 0"""),
+    "churn_usage_features": _sql("SELECT account_id, usage_events, features_used FROM measures WHERE users > 0"),
+    "churn_support_features": _sql("SELECT account_id, support_ticket_count, avg_resolution_hours FROM measures WHERE support_ticket_count > 0"),
+    "churn_billing_features": _sql("SELECT account_id, invoice_count, failed_invoice_count FROM measures WHERE invoice_count > 0"),
     "churn_features": _sql("SELECT * FROM features"),
     "subscription_age_days": _sql("SELECT account_id, subscription_age_days FROM model_rows"),
     "churn_pattern_features": _sql("SELECT * FROM patterns"),
@@ -750,7 +762,7 @@ ORACLES |= {
     },
     "nonempty_gate_bronze": ORACLES["nonempty_gate"],
     "nonempty_gate_star": "\nUNION ALL\n".join(
-        f"SELECT '{name}' AS table_name, count(*) AS row_count, count(*) > 0 AS ok FROM ({ORACLES['star_' + name]})"
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, count(*) > 0 AS ok FROM ({_sql('SELECT * FROM plans') if name == 'dim_plan' else ORACLES['star_' + name]})"
         for name in fixed.STAR_TABLES
     ),
     "dq_observed_checks": _sql(_checks(kinds=("NULL", "VOLUME"))),

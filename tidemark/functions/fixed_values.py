@@ -6,6 +6,7 @@ MONTHS_PER_YEAR = 12
 
 # ---- Fixed values: service levels, hours to resolve by severity ----------
 SLA_HOURS = {"Critical": 4, "High": 8, "Medium": 24, "Low": 48}
+UNRESOLVED, WITHIN_SLA, BREACHED_SLA = "Unresolved", "Within SLA", "Breached SLA"
 
 # ---- Fixed values: score bands (first match wins) ------------------------
 USAGE_BANDS = ((50, 100), (30, 80), (15, 60), (5, 40))  # at least N events
@@ -16,6 +17,8 @@ BILLING_CLEAN, BILLING_RARE, BILLING_SOME, BILLING_FLOOR = 100, 80, 60, 30
 BILLING_RARE_SHARE, BILLING_SOME_SHARE = 10, 25  # percent of invoices failed
 HEALTH_WEIGHTS = {"usage_score": 40, "support_score": 30, "billing_score": 30}
 HEALTHY_FROM, WATCH_FROM = 80, 60
+HEALTHY, WATCH, AT_RISK = "Healthy", "Watch", "At Risk"
+CUSTOMER_NOT_FOUND = "Customer not found"
 
 # ---- Fixed values: churn model -------------------------------------------
 HIGH_RISK_FROM, MEDIUM_RISK_FROM = 0.70, 0.40

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import json_text, lookup
 from tidemark.functions.fixed_values import (
     ACKNOWLEDGED,
+    AT_RISK,
     DEFAULT_FOLLOW_UP,
     DEFAULT_OWNER,
     EXPANSION_ALERT,
@@ -48,7 +49,7 @@ def suppress_open_alerts(candidates: DataFrame, alerts: DataFrame) -> DataFrame:
 
 def health_risk_alerts(health: DataFrame, alerts: DataFrame) -> DataFrame:
     """An alert for each At Risk customer without an open one."""
-    at_risk = health.filter(F.col("health_status") == "At Risk")
+    at_risk = health.filter(F.col("health_status") == AT_RISK)
     scores = json_text(
         F.col("health_score").cast("decimal(5,2)").alias("health_score"),
         F.col("usage_score"),

@@ -199,6 +199,9 @@ def churn_fit(train: DataFrame, label: str = "churned", iterations: int = 2000)
         "features", F.col(label).cast("double").alias("label"), weight.alias("weight")
     )
     fitted = regression.fit(points)
+    # The summary holds the training rows and the session; with it the model cannot
+    # be sent to tasks once the session has observed counts.
+    fitted._java_obj.setSummary(train.sparkSession._jvm.scala.Option.empty())
     return PipelineModel(stages=[scaling, *one_hot.stages, assembler, fitted])
 
 

@@ -15,20 +15,26 @@ from tidemark.functions.columns import (
     sla_hours,
 )
 from tidemark.functions.fixed_values import (
+    AT_RISK,
     BILLING_CLEAN,
     BILLING_FLOOR,
     BILLING_RARE,
     BILLING_RARE_SHARE,
     BILLING_SOME,
     BILLING_SOME_SHARE,
+    BREACHED_SLA,
     HEALTH_WEIGHTS,
+    HEALTHY,
     HEALTHY_FROM,
     MONTHS_PER_YEAR,
     SUPPORT_BANDS,
     SUPPORT_FLOOR,
+    UNRESOLVED,
     USAGE_BANDS,
     USAGE_FLOOR,
+    WATCH,
     WATCH_FROM,
+    WITHIN_SLA,
 )
 
 
@@ -168,9 +174,9 @@ def customer_health(
     return scored.select(
         "*",
         (points / 100).alias("health_score"),
-        F.when(points >= HEALTHY_FROM * 100, "Healthy")
-        .when(points >= WATCH_FROM * 100, "Watch")
-        .otherwise("At Risk")
+        F.when(points >= HEALTHY_FROM * 100, HEALTHY)
+        .when(points >= WATCH_FROM * 100, WATCH)
+        .otherwise(AT_RISK)
         .alias("health_status"),
     )
 
@@ -286,9 +292,9 @@ def support_sla(support: DataFrame) -> DataFrame:
             "resolution_hours",
             "sla_hours",
             "within_sla",
-            F.when(F.col("within_sla"), "Within SLA")
-            .when(open_ticket, "Unresolved")
-            .otherwise("Breached SLA")
+            F.when(F.col("within_sla"), WITHIN_SLA)
+            .when(open_ticket, UNRESOLVED)
+            .otherwise(BREACHED_SLA)
             .alias("sla_status"),
         )
     )

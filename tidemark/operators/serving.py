@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.fixed_values import AT_RISK, CUSTOMER_NOT_FOUND, HEALTHY, WATCH
+
 HEALTH_COLUMNS = ("customer_id", "usage_score", "support_score", "billing_score", "health_score", "health_status")
 
 
@@ -26,9 +28,9 @@ def dashboard_kpis(revenue: DataFrame, health: DataFrame, alerts: DataFrame) ->
         ),
         alerts.agg(F.count_if(F.col("status") == "Open").alias("open_alerts")),
         health.agg(
-            F.count_if(F.col("health_status") == "Healthy").alias("healthy_customers"),
-            F.count_if(F.col("health_status") == "Watch").alias("watch_customers"),
-            F.count_if(F.col("health_status") == "At Risk").alias("at_risk_customers"),
+            F.count_if(F.col("health_status") == HEALTHY).alias("healthy_customers"),
+            F.count_if(F.col("health_status") == WATCH).alias("watch_customers"),
+            F.count_if(F.col("health_status") == AT_RISK).alias("at_risk_customers"),
             F.count_if(F.col("active_subscriptions") > 0).alias("active_customers_distinct"),
         ),
     ]
@@ -53,7 +55,7 @@ def customer_health_lookup(health: DataFrame, ids: DataFrame) -> DataFrame:
     asked = ids.select("customer_id").distinct()
     found = health.select(*HEALTH_COLUMNS)
     return asked.join(found, "customer_id", "left").withColumn(
-        "message", F.when(F.col("health_status").isNull(), "Customer not found")
+        "message", F.when(F.col("health_status").isNull(), CUSTOMER_NOT_FOUND)
     )
 
 

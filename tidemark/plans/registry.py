@@ -418,7 +418,7 @@ QUERIES: dict[str, Callable[[Inputs], DataFrame]] = {
     "stage_support": lambda t: staging.stage_support(t.support()),
     "star_dim_customer": lambda t: star.dim_customer(t.accounts()),
     "star_dim_user": lambda t: star.dim_user(t.users()),
-    "star_dim_plan": lambda t: star.dim_plan(t.dim_plan()),
+    "star_dim_plan": lambda t: star.dim_plan(t.sold_plans()),
     "star_dim_date": lambda t: t.dates(),
     "star_fact_usage": lambda t: star.fact_usage(t.unflagged_events(), t.users()),
     "star_fact_billing": lambda t: t.billing(),

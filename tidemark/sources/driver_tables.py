@@ -81,6 +81,12 @@ class DriverTables:
         rows = [f"({number}, '{name}', {price})" for number, (name, price) in enumerate(PLAN_PRICES.items(), start=1)]
         return self.spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS plans(plan_id, plan_name, monthly_price)")
 
+    @once
+    def sold_plans(self) -> DataFrame:
+        """The plans of the price list that some order has."""
+        sold = self.subscriptions().select(F.col("plan").alias("plan_name")).distinct()
+        return self.dim_plan().join(sold, "plan_name", "left_semi").select("plan_id", "plan_name", "monthly_price")
+
     @once
     def accounts(self) -> DataFrame:
         balance = F.col("c_acctbal")
