@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -15,7 +16,16 @@ from pyspark.sql import types as T
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
+#: Rows that Spark hands to Python at once; of long texts Spark's default is too many.
+ARROW_ROWS = 2000
+
+
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    _small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -28,10 +38,19 @@ def work_folder(spark: SparkSession) -> str:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: later steps
-    that lose an executor reread it instead of computing it anew.  Runs a job."""
-    path = work_folder(df.sparkSession)
+    that lose an executor reread it instead of computing it anew.  Runs a job.
+
+    Spark drops the shuffle files of what went before when the driver collects its
+    garbage, which has little of it; it is asked to, lest the files of all steps
+    stay side by side."""
+    spark = df.sparkSession
+    _small_batches(spark)
+    path = work_folder(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return read
 
 
 ZIPPED = "_zipped_text"
@@ -57,7 +76,7 @@ def zipped(df: DataFrame, text: str) -> DataFrame:
 
 
 #: Rows of a batch that Python works on at once.
-BATCH_ROWS = 4000
+BATCH_ROWS = 2000
 
 
 def lean(function: Callable) -> Callable:

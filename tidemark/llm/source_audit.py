@@ -43,7 +43,7 @@ TOP_TERMS = 50
 #: Bytes of text that are counted at once; a longer text is counted alone.
 PIECE_BYTES = 8 << 20
 #: Sources in a tile, and shares that a task of the comparison holds.
-TILE, CELLS = 256, 1 << 21
+TILE, CELLS = 256, 1 << 15
 
 TERM = ["hi", "lo", "tail"]
 COUNTS = "lang string, source string, hi bigint, lo bigint, tail binary, n bigint, docs bigint"
