@@ -20,12 +20,20 @@ SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 ARROW_ROWS = 2000
 
 
-def _small_batches(spark: SparkSession) -> None:
+def small_batches(spark: SparkSession) -> None:
+    """Hand fewer rows at once to Python from now on."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+def drop_finished(spark: SparkSession) -> None:
+    """Spark drops the shuffle files of what went before when the driver collects
+    its garbage, which has little of it: ask for that, lest the files of all steps
+    stay side by side."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    _small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -38,19 +46,10 @@ def work_folder(spark: SparkSession) -> str:
 
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: later steps
-    that lose an executor reread it instead of computing it anew.  Runs a job.
-
-    Spark drops the shuffle files of what went before when the driver collects its
-    garbage, which has little of it; it is asked to, lest the files of all steps
-    stay side by side."""
-    spark = df.sparkSession
-    _small_batches(spark)
-    path = work_folder(spark)
+    that lose an executor reread it instead of computing it anew.  Runs a job."""
+    path = work_folder(df.sparkSession)
     df.write.parquet(path)
-    read = spark.read.schema(df.schema).parquet(path)
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return read
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 ZIPPED = "_zipped_text"
@@ -76,7 +75,7 @@ def zipped(df: DataFrame, text: str) -> DataFrame:
 
 
 #: Rows of a batch that Python works on at once.
-BATCH_ROWS = 2000
+BATCH_ROWS = 4000
 
 
 def lean(function: Callable) -> Callable:

@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.blocks import SubstringHashes, range_blocks, run_starts, unpack
-from tidemark.llm.common import ZIPPED, lean, lean_group, stored, zipped
+from tidemark.llm.common import ZIPPED, drop_finished, lean, lean_group, small_batches, stored, zipped
 from tidemark.llm.components import components
 
 FREQUENT = 24
@@ -454,19 +454,25 @@ def _rooted(docs: DataFrame, words_in_gram: int, percent: int) -> tuple[DataFram
     (vertex, first_id, root) of every set."""
     key, text = "doc_id", "text"
     spark = docs.sparkSession
+    small_batches(spark)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     ranges = max(LEAST_RANGES, -(-total // TEXT_PER_RANGE))
     frequent = spark.sparkContext.broadcast(frequent_grams(docs.select(text), words_in_gram, ranges))
+    drop_finished(spark)
     known = stored(prefixes(docs, words_in_gram, percent, frequent, key, text))
     sets = known.where("vertex IS NOT NULL")
     first = sets.groupBy("vertex").agg(F.min("doc_id").alias("first_id"))
     nodes = stored(frequent_nodes(sets))
     pairs = stored(rare_node_pairs(sets, percent, ranges).unionByName(star_pairs(nodes, percent)).distinct())
+    drop_finished(spark)
 
     def sets_of(vertices: DataFrame) -> DataFrame:
-        return ordered_sets(vertices, docs, first, words_in_gram, frequent, key, text)
+        sets = ordered_sets(vertices, docs, first, words_in_gram, frequent, key, text)
+        drop_finished(spark)
+        return sets
 
     links = verified(pairs, sets_of(pairs.select(F.explode(F.array("a", "b")).alias("vertex"))), percent)
+    drop_finished(spark)
     roots = components(links)
     members = stored(families(nodes, roots))
     if not members.isEmpty():
