@@ -7,6 +7,7 @@ import random
 import re
 from collections import Counter
 from itertools import permutations
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -120,6 +121,32 @@ def test_tree_walk_equals_set_overlap():
     assert sum(expected) >= 3
 
 
+def test_sketches_never_overstate_the_difference():
+    rng = np.random.default_rng(11)
+    for size in (1, 2, 9, 100, 1000):
+        own = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        for gone, fresh in ((0, 0), (1, 0), (0, 1), (size // 10, size // 7), (size, 3 * size)):
+            other = np.union1d(own[gone:], rng.integers(0, 1 << 64, fresh, dtype=np.uint64))
+            difference = len(np.setxor1d(own, other))
+            for a, b in ((own, other), (other, own)):
+                least = ngram_join.least_difference(ngram_join.sketch(a), ngram_join.sketch(b))
+                assert least <= difference and least % 2 == difference % 2
+        unlike = np.unique(rng.integers(0, 1 << 64, size, dtype=np.uint64))
+        if size >= 100:
+            assert ngram_join.least_difference(ngram_join.sketch(own), ngram_join.sketch(unlike)) > size // 2
+
+
+def test_join_leaves_two_tables(docs, spark):
+    """What stays in the shared folder is what the result reads."""
+    from tidemark.llm.common import work_folder
+
+    folder = Path(work_folder(spark).removeprefix("file:")).parent
+    before = set(folder.glob("*")) if folder.exists() else set()
+    result = ngram_join.ngram_components(docs(corpus(8)))
+    assert len(set(folder.glob("*")) - before) == 2
+    assert sorted((tuple(row) for row in result.collect()), key=str) == brute_components(corpus(8))
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(at, at + 1) for at in range(0, 60)] + [(100, 200 + at) for at in range(40)] + [(7, 7)]
     result = components(spark.createDataFrame(links, "a bigint, b bigint").repartition(7))

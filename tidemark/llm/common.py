@@ -6,6 +6,8 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,10 +46,33 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/llm-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
+#: Where tables are stored that are deleted once a step has ended; none outside of one.
+_passing: ContextVar[str | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables stored inside go when the block ends, but for those stored by the
+    function given; so no table kept may still read another one by then."""
+    folder = work_folder(spark)
+    before = _passing.get()
+    mark = _passing.set(folder)
+    try:
+        yield lambda df: _written(df, f"{before}/{uuid.uuid4().hex}" if before else work_folder(spark))
+    finally:
+        _passing.reset(mark)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as a table in the shared folder and read back: later steps
     that lose an executor reread it instead of computing it anew.  Runs a job."""
-    path = work_folder(df.sparkSession)
+    folder = _passing.get()
+    return _written(df, f"{folder}/{uuid.uuid4().hex}" if folder else work_folder(df.sparkSession))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -5,7 +5,10 @@ order: rare grams first, so that what many documents share comes last.  Two
 sets similar enough share a gram among the first few of both.  The tree's first
 level is therefore dealt out by Spark, one node per such gram, and sets meet
 only below a common node, at positions that leave enough grams to reach the
-required overlap.  Below, the sets to be compared with one set are walked in
+required overlap.  Each set also has a sketch, the parities of its grams' hash
+buckets, two to four bits a gram: where the sketches of two sets differ, so do
+the sets, and pairs that differ in too many buckets go before any whole set is
+moved.  Below, the sets to be compared with one set are walked in
 tree order: a set goes on from the depth it shares with the one before, with
 the overlap counted there, and a subtree is left as soon as the grams that
 remain cannot reach the requirement.
@@ -46,7 +49,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.blocks import SubstringHashes, range_blocks, run_starts, unpack
-from tidemark.llm.common import ZIPPED, drop_finished, lean, lean_group, small_batches, stored, zipped
+from tidemark.llm.common import ZIPPED, drop_finished, lean, lean_group, passing_tables, small_batches, stored, zipped
 from tidemark.llm.components import components
 
 FREQUENT = 24
@@ -148,6 +151,26 @@ def fingerprint(grams: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(grams.tobytes()) - (1 << 63)
 
 
+def sketch(grams: np.ndarray) -> bytes:
+    """One bit for each bucket that the set's hashes fall into: whether their number
+    is odd.  The number of buckets is the power of two from twice the set's size on."""
+    buckets = max(8, 1 << (2 * len(grams) - 1).bit_length())
+    held = np.bincount((grams & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.packbits((held & 1).astype(np.uint8)).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """What two sets differ in at least, by their sketches: the grams that only one of
+    them holds leave an odd number in each bucket where the sketches differ.  The
+    larger sketch is folded to the size of the smaller."""
+    a, b = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _prefix(grams: int, percent: int) -> int:
     return grams - -(-percent * grams // 100) + 1
 
@@ -159,13 +182,13 @@ def _enough(overlap: Column, size_a: Column, size_b: Column, percent: int) -> Co
 def prefixes(
     docs: DataFrame, words_in_gram: int, percent: int, frequent: Broadcast, key: str, text: str
 ) -> DataFrame:
-    """(doc_id, text_hash, n_shingles, vertex, rare, prefix): the first grams of
-    each document's ordered set, as packed 64-bit hashes, and how many of the set
-    are not frequent.  Without grams, vertex and prefix are null."""
+    """(doc_id, text_hash, n_shingles, vertex, rare, prefix, sketch): the first grams
+    of each document's ordered set, as packed 64-bit hashes, how many of the set are
+    not frequent, and the set's sketch.  Without grams, vertex, prefix and sketch are null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, vertices, rares, packed = [], [], [], []
+            sizes, vertices, rares, packed, sketches = [], [], [], [], []
             for each in batch.column(1).to_pylist():
                 grams = gram_hashes(each, words_in_gram)
                 ordered, rare = in_order(grams, frequent.value)
@@ -173,13 +196,15 @@ def prefixes(
                 rares.append(rare)
                 vertices.append(fingerprint(grams) if len(grams) else None)
                 packed.append(ordered[: _prefix(len(grams), percent)].tobytes() if len(grams) else None)
+                sketches.append(sketch(grams) if len(grams) else None)
+            numbers = (pa.array(each, pa.int64()) for each in (sizes, vertices, rares))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *(pa.array(each, pa.int64()) for each in (sizes, vertices, rares)), pa.array(packed, pa.binary())],
-                names=["doc_id", "text_hash", "n_shingles", "vertex", "rare", "prefix"],
+                [batch.column(0), batch.column(2), *numbers, pa.array(packed, pa.binary()), pa.array(sketches, pa.binary())],
+                names=["doc_id", "text_hash", "n_shingles", "vertex", "rare", "prefix", "sketch"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"doc_id {kind}, text_hash bigint, n_shingles bigint, vertex bigint, rare bigint, prefix binary"
+    schema = f"doc_id {kind}, text_hash bigint, n_shingles bigint, vertex bigint, rare bigint, prefix binary, sketch binary"
     return docs.select(key, text, F.xxhash64(text).alias("text_hash")).mapInArrow(lean(run), schema)
 
 
@@ -425,6 +450,23 @@ def ordered_sets(
     return stored(texts.mapInArrow(lean(make), "vertex bigint, grams binary").groupBy("vertex").agg(F.first("grams").alias("grams")))
 
 
+def within_reach(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sketches leave the similarity within reach; ``sets`` has
+    (vertex, n_shingles, sketch), equal sets repeatedly."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = pc.add(batch.column(2), batch.column(4)).to_numpy()
+            different = [least_difference(a, b) for a, b in zip(batch.column(3).to_pylist(), batch.column(5).to_pylist())]
+            near = (100 + percent) * (size - np.array(different, np.int64)) >= 2 * percent * size
+            yield batch.select([0, 1]).filter(pa.array(near))
+
+    once = sets.groupBy("vertex").agg(F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
+    met = pairs.join(once.toDF("b", "size_b", "sketch_b"), "b").join(once.toDF("a", "size_a", "sketch_a"), "a")
+    rows = met.select("a", "b", "size_a", "sketch_a", "size_b", "sketch_b")
+    return rows.mapInArrow(lean(compare), "a bigint, b bigint")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity, counted on whole sets."""
 
@@ -451,35 +493,40 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _rooted(docs: DataFrame, words_in_gram: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """From (doc_id, text): (doc_id, text_hash, n_shingles, vertex) of every row, and
-    (vertex, first_id, root) of every set."""
+    (vertex, first_id, root) of every set.  Tables on the way are deleted."""
     key, text = "doc_id", "text"
     spark = docs.sparkSession
     small_batches(spark)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     ranges = max(LEAST_RANGES, -(-total // TEXT_PER_RANGE))
-    frequent = spark.sparkContext.broadcast(frequent_grams(docs.select(text), words_in_gram, ranges))
-    drop_finished(spark)
-    known = stored(prefixes(docs, words_in_gram, percent, frequent, key, text))
-    sets = known.where("vertex IS NOT NULL")
-    first = sets.groupBy("vertex").agg(F.min("doc_id").alias("first_id"))
-    nodes = stored(frequent_nodes(sets))
-    pairs = stored(rare_node_pairs(sets, percent, ranges).unionByName(star_pairs(nodes, percent)).distinct())
-    drop_finished(spark)
-
-    def sets_of(vertices: DataFrame) -> DataFrame:
-        sets = ordered_sets(vertices, docs, first, words_in_gram, frequent, key, text)
+    with passing_tables(spark) as keep:
+        frequent = spark.sparkContext.broadcast(frequent_grams(docs.select(text), words_in_gram, ranges))
+        drop_finished(spark)
+        known = stored(prefixes(docs, words_in_gram, percent, frequent, key, text))
+        sets = known.where("vertex IS NOT NULL")
+        first = sets.groupBy("vertex").agg(F.min("doc_id").alias("first_id"))
+        nodes = stored(frequent_nodes(sets))
+        met = stored(rare_node_pairs(sets, percent, ranges).unionByName(star_pairs(nodes, percent)).distinct())
         drop_finished(spark)
-        return sets
+        pairs = stored(within_reach(met, sets, percent))
+        drop_finished(spark)
+
+        def sets_of(vertices: DataFrame) -> DataFrame:
+            made = ordered_sets(vertices, docs, first, words_in_gram, frequent, key, text)
+            drop_finished(spark)
+            return made
 
-    links = verified(pairs, sets_of(pairs.select(F.explode(F.array("a", "b")).alias("vertex"))), percent)
+        links = verified(pairs, sets_of(pairs.select(F.explode(F.array("a", "b")).alias("vertex"))), percent)
+        drop_finished(spark)
+        roots = components(links)
+        members = stored(families(nodes, roots))
+        if not members.isEmpty():
+            found = family_links(members, sets_of(members.select("vertex")), percent)
+            roots = components(roots.select(F.col("vertex").alias("a"), F.col("root").alias("b")).unionByName(found))
+        rooted = first.join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
+        result = keep(known.select("doc_id", "text_hash", "n_shingles", "vertex")), keep(rooted)
     drop_finished(spark)
-    roots = components(links)
-    members = stored(families(nodes, roots))
-    if not members.isEmpty():
-        found = family_links(members, sets_of(members.select("vertex")), percent)
-        roots = components(roots.select(F.col("vertex").alias("a"), F.col("root").alias("b")).unionByName(found))
-    rooted = first.join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
-    return known.select("doc_id", "text_hash", "n_shingles", "vertex"), stored(rooted)
+    return result
 
 
 def ngram_components(
