@@ -23,6 +23,15 @@ PAGES = "page_id bigint, url string, html string, host string, templates string"
         ("<article><h1>T</h1><p><b>a b<br><p>c</article><footer>f</footer>", "T\na b\nc"),
         ("<nav><ul><li>m</ul></nav><main><p>x</p><form>f</form><aside>s</aside></main>", "x"),
         ("<article><p>text</p><div class='post-comments'><p>me too</p></div></article>", "text"),
+        ("<div class='layout has-sidebar'><article><p>kept</p></article></div>", "kept"),
+        ("<div id='page' class='no-sidebar'><p>kept</p></div>", "kept"),
+        ("<article class='post comments-open'><h1 class='entry-header'>Head</h1><p>kept</p></article>", "Head\nkept"),
+        ("<div class='elementor-widget-container'><article><p>kept</p></article></div>", "kept"),
+        ("<div class='social-science'><p>kept</p></div><div class='social-links'>s</div><ul class='ad-300x250'><li>a</ul>", "kept"),
+        ("<div class='widget'><article><p>kept</p></article><p>more</p></div><p>rest</p>", "kept"),
+        ("<article><p>kept</p></article><ol class='comment-list'><li><article class='comment-body'>c</article></ol>", "kept"),
+        ("<article><p>kept</p></article><div class='related-posts'><article class='card'>r</article></div>", "kept"),
+        ("<article><p>kept</p><h2 class='related'>r</h2><div class='site-footer'>f</div></article>", "kept"),
         ("<body><div class=ad>buy</div><div id='cookie-notice'>c</div><p>kept</p></body>", "kept"),
         ("<article>a<script>var t='</p><p>no';</script><style>p{}</style><!-- c --> b</article>", "a b"),
         ("<article><p>cut &am", "cut &am"),
@@ -162,3 +171,10 @@ def test_shards_are_even_and_keep_groups(docs, shards, monkeypatch):
     large = {row.shard for row in rows if row.doc_id and 2000 <= row.doc_id < 3000}
     assert len(large) <= -(-150 // (len(pairs) // shards)) + 4  # few more than it needs
     assert sharding.shard_documents(docs([(1, "x")]).where("doc_id > 1"), shards=shards).count() == 0
+
+
+def test_very_deep_page():
+    depth = 20_000
+    page = "<div>" * depth + "<article><p>kept</p></article>" + "</div>" * depth
+    assert html_extract.main_text(page) == "kept"
+    assert html_extract.subtree_hashes(page) == set()

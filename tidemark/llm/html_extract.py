@@ -7,10 +7,12 @@ menu that differs on each page from text, nor an article that a host shows
 twice from a template.  So elements whose tag, role or class says what they are
 (menus, notices, adverts, forms, reader comments and so on) go in any case, and
 in a page's article, headings, paragraphs and whatever holds one are never
-taken for a template.
+taken for a template.  A class or id says so by a whole name, not by a part of
+one: ``post-comments`` does, ``comments-open`` and ``has-sidebar`` do not.
 
 The text is that of the page's ``article`` elements (outside furniture), else of
-``main``, else of the body.  Each block element is one block: character
+``main``, else of such elements inside what only a class calls furniture, else
+of the body.  Each block element is one block: character
 references decoded, white space turned into one space, trimmed; blocks are
 joined by a newline.
 
@@ -23,7 +25,9 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -55,6 +59,14 @@ FURNITURE_WORDS = frozenset(
     "disclaimer footer header masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted "
     "related share sharing sidebar social sponsor sponsored subscribe toolbar widget".split()
 )
+#: After such a word, these name a part of it; before it, those name the state of something else.
+FURNITURE_PARTS = frozenset(
+    "area bar block body box button buttons content entry form group icons inner item items left link links list meta overlay "
+    "posts reply right section signup slot thread unit".split()
+)
+STATES = frozenset("has hide is no show with without".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+HEADING_WORDS = frozenset("banner header masthead".split())
 
 _TOKEN = re.compile(
     r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(>|\Z)"
@@ -62,21 +74,35 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
-_WORD = re.compile(r"[a-z]+")
 _RAW_END = {name: re.compile(f"</{name}(?=[\\s/>])", re.I) for name in RAW}
 _PARENTS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
 _SIBLINGS = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
 
 
+@lru_cache(maxsize=4096)
+def named_word(name: str) -> str:
+    """The word for page furniture that a class or id is made of: its last piece, or
+    its first before the name of a part; empty if there is none."""
+    pieces = [piece.rstrip("0123456789") for piece in re.split("[-_]+", name) if piece and not piece[0].isdigit()]
+    if not pieces or not STATES.isdisjoint(pieces):
+        return ""
+    if pieces[-1] in FURNITURE_WORDS:
+        return pieces[-1]
+    return pieces[0] if pieces[0] in FURNITURE_WORDS and FURNITURE_PARTS.issuperset(pieces[1:]) else ""
+
+
 class Element:
-    __slots__ = ("tag", "shown", "furniture", "holds_text", "items", "digest", "root")
+    """``furniture`` goes, ``by_name`` tells that only a class or id says so."""
+
+    __slots__ = ("tag", "shown", "furniture", "by_name", "holds_text", "items", "digest", "root")
 
     def __init__(self, tag: str, attributes: str):
         self.tag = tag
         self.items: list[str | Element] = []
         self.digest = b""
         self.furniture = tag in FURNITURE_TAGS
-        self.holds_text = tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre")
+        self.by_name = False
+        self.holds_text = tag in HEADINGS or tag in ("p", "blockquote", "pre")
         self.root = tag if tag in ("article", "main") else ""
         self.shown = tag
         if attributes:
@@ -88,8 +114,11 @@ class Element:
                     self.root = self.root or ("main" if value == "main" else "")
                 elif name == "hidden":
                     self.furniture = True
-                elif tag not in ("html", "body"):
-                    self.furniture |= not FURNITURE_WORDS.isdisjoint(_WORD.findall(value))
+                elif tag not in ("html", "body", "main"):
+                    words = set(map(named_word, value.split())) - {""}
+                    self.by_name |= bool(words - HEADING_WORDS if tag in HEADINGS else words)
+        self.by_name &= not self.furniture
+        self.furniture |= self.by_name
 
     def close(self) -> None:
         digest = xxhash.xxh3_64(self.shown.encode())
@@ -106,12 +135,21 @@ def parse(page: str) -> Element:
     """The page as a tree.  Missing end tags are implied; what has no start is ignored."""
     root = Element("html", "")
     stack, at = [root], 0
+    opened: Counter[str] = Counter()
+
+    def enter(element: Element) -> None:
+        stack.append(element)
+        opened[element.tag] += 1
 
     def leave(depth: int) -> None:
         while len(stack) > depth:
-            stack.pop().close()
+            element = stack.pop()
+            opened[element.tag] -= 1
+            element.close()
 
     def innermost(names: tuple[str, ...], bounds: tuple[str, ...] = ()) -> int:
+        if not any(opened[name] for name in names):
+            return 0
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].tag in names:
                 return depth
@@ -152,9 +190,9 @@ def parse(page: str) -> Element:
             elif start in VOID or attributes.endswith("/"):
                 element.close()
                 if attributes.endswith("/") and start not in VOID:
-                    stack.append(element)  # the slash means nothing on such elements
+                    enter(element)  # the slash means nothing on such elements
             else:
-                stack.append(element)
+                enter(element)
     if at < len(page):
         stack[-1].items.append(html.unescape(page[at:]))
     leave(0)
@@ -163,18 +201,17 @@ def parse(page: str) -> Element:
 
 def _roots(tree: Element) -> list[Element]:
     """The elements whose text is wanted."""
-    for wanted in ("article", "main"):
-        found, stack = [], [tree]
-        while stack:
-            element = stack.pop()
-            if element.furniture:
-                continue
-            if element.root == wanted:
-                found.append(element)
-            else:
-                stack += [item for item in reversed(element.items) if not isinstance(item, str)]
-        if found:
-            return found
+    for entered in (False, True):
+        for wanted in ("article", "main"):
+            found, stack = [], [tree]
+            while stack:
+                element = stack.pop()
+                if element.root == wanted and not element.furniture:
+                    found.append(element)
+                elif not element.furniture or (entered and element.by_name):
+                    stack += [item for item in reversed(element.items) if not isinstance(item, str)]
+            if found:
+                return found
     return [tree]
 
 
@@ -196,12 +233,16 @@ def subtree_hashes(page: str) -> set[int]:
     roots = {id(each) for each in _roots(tree)} - {id(tree)}
     holding: set[int] = set()
     if roots:  # what lies around the wanted elements is no template
-        stack = [(tree, ())]
+        above: dict[int, int] = {}
+        stack = [tree]
         while stack:
-            element, path = stack.pop()
-            if id(element) in roots:
-                holding.update(path)
-            stack += [(item, (*path, id(element))) for item in element.items if not isinstance(item, str)]
+            element = stack.pop()
+            inner = [item for item in element.items if not isinstance(item, str)]
+            above.update((id(item), id(element)) for item in inner)
+            stack += inner
+        for each in roots:
+            while (each := above.get(each)) is not None and each not in holding:
+                holding.add(each)
     return {
         int.from_bytes(element.digest, "little", signed=True)
         for element, free in _parts(tree)
