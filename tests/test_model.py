@@ -12,7 +12,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from tidemark.functions.fixed_values import CATEGORICAL_FEATURES, NUMERIC_FEATURES
-from tidemark.functions.statistics import exact_medians, most_frequent, rank_auc
+from tidemark.functions.statistics import DIGITS, exact_medians, most_frequent, ordered_digit, rank_auc
 from tidemark.operators import churn_model
 
 FEATURES = (
@@ -113,13 +113,13 @@ def test_constant_and_empty_columns(spark):
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     values=st.lists(st.one_of(st.none(), st.integers(-3, 3).map(float), st.floats(-1e6, 1e6)), min_size=1, max_size=40),
-    error=st.sampled_from([1e-4, 0.02, 0.2]),
+    rows_in_order=st.sampled_from([0, 5, 65_536]),
 )
-def test_medians(spark, values, error):
+def test_medians(spark, values, rows_in_order):
     frame = spark.createDataFrame([(v,) for v in values], "x double")
     present = [v for v in values if v is not None]
     expected = statistics.median(present) if present else None
-    assert exact_medians(frame, ["x"], error) == {"x": pytest.approx(expected) if present else None}
+    assert exact_medians(frame, ["x"], rows_in_order) == {"x": pytest.approx(expected) if present else None}
 
 
 def test_medians_with_a_value_holding_a_third(spark):
@@ -130,6 +130,34 @@ def test_medians_with_a_value_holding_a_third(spark):
     assert exact_medians(frame, ["x", "y"]) == {"x": pytest.approx(statistics.median(values)), "y": 4.5}
 
 
+@pytest.mark.parametrize("rows_in_order", [0, 65_536])
+def test_medians_of_hard_columns(spark, rows_in_order):
+    power = 2.0**40
+    columns = {
+        "equal": [7.25] * 8,
+        "close": [1.0, math.nextafter(1.0, 2), math.nextafter(1.0, 2), 1.0, math.nextafter(1.0, 0), 1.0, 3.0, 3.0],
+        "far": [-1e308, -5e-324, 0.0, 5e-324, 1e-300, 1e300, 1e308, float("inf")],
+        "minus": [-float("inf"), -1e308, -power, math.nextafter(-power, 0), -3.0, -2.0, -1.0, None],
+        "missing": [None, float("nan")] * 4,
+    }
+    frame = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{name} double" for name in columns))
+    found = exact_medians(frame, columns, rows_in_order)
+    expected = {name: statistics.median(v for v in values if v is not None) for name, values in columns.items() if name != "missing"}
+    assert found == expected | {"missing": None}
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.floats(allow_nan=False), min_size=1, max_size=60))
+def test_digits_keep_the_order_of_doubles(spark, values):
+    near = [math.nextafter(2.0**k, way) for k in (-1074, -1022, -3, 0, 1, 29, 1023) for way in (0.0, float("inf"))]
+    values = sorted({*values, *near, *(-v for v in near), 0.0})
+    frame = spark.createDataFrame([(v,) for v in values], "x double")
+    digits = frame.select("x", F.array(*[ordered_digit(F.col("x"), n) for n in range(1, DIGITS + 1)]).alias("d")).collect()
+    by_digits = sorted(digits, key=lambda row: row["d"])
+    assert [row["x"] for row in by_digits] == values
+    assert len({tuple(row["d"]) for row in digits}) == len(values)
+
+
 def test_most_frequent_prefers_the_smallest(spark):
     frame = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,), (None,), (None,), ("c",)], "x string")
     assert most_frequent(frame, ["x"]) == {"x": "a"}
@@ -156,10 +184,10 @@ def brute_auc(data):
 
 
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(data=st.lists(st.tuples(st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9]) | st.floats(0, 1), st.integers(0, 1)), min_size=1, max_size=30))
-def test_auc(spark, data):
+@given(data=st.lists(st.tuples(st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9]) | st.floats(0, 1), st.integers(0, 1)), min_size=1, max_size=30), per_slice=st.sampled_from([1, 3, 500_000]))
+def test_auc(spark, data, per_slice):
     frame = spark.createDataFrame(data, "churn_probability double, churned int")
-    value = rank_auc(frame, "churned", "churn_probability", slices=4).first()["roc_auc"]
+    value = rank_auc(frame, "churned", "churn_probability", per_slice).first()["roc_auc"]
     expected = brute_auc(data)
     assert value is None if expected is None else value == pytest.approx(expected)
 
