@@ -150,19 +150,22 @@ def test_leaks_equal_a_full_search(docs, spark, blocks, monkeypatch):
         return " ".join(rng.choice(vocabulary) for _ in range(words))
 
     items = [(number, f"{prose(rng.randrange(5, 40))}. {prose(6)}?") for number in range(60)] + [(900, None), (901, ""), (902, "...")]
-    items.append((903, items[3][1]))
+    items += [(903, items[3][1]), (None, items[7][1])]
     pairs = [(number, prose(rng.randrange(0, 600))) for number in range(40)]
     pairs += [(100 + number, f"{prose(rng.randrange(300))} {items[number][1].upper()} {prose(100)}") for number in range(20)]
     pairs += [(200 + number, f"{prose(80)} {items[number][1].split('. ')[0]} {prose(80)}") for number in range(20, 30)]
     pairs += [(300, None), (301, ""), (302, items[5][1]), (302, items[5][1]), (None, items[6][1])]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    at_once = {(row.doc_id, row.item_id): row.score for row in decontamination.leaks(docs(pairs), benchmark).collect()}
     if blocks > 1:
         monkeypatch.setattr(decontamination, "MOST_WORDS", sum(len(text or "") for _, text in items) // 6 // blocks)
-    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
-    found = {(row.doc_id, row.item_id) for row in decontamination.leaks(docs(pairs), benchmark).collect()}
-    if blocks == 1:
-        assert found == brute_leaks(pairs, [item for item in items if item[1]])
+        assert decontamination.item_blocks(benchmark, "item_id", "text")[0] > 1
+    found = {(row.doc_id, row.item_id): row.score for row in decontamination.leaks(docs(pairs), benchmark).collect()}
+    assert found == pytest.approx(at_once)
+    found = set(found)
+    assert found == brute_leaks(pairs, [item for item in items if item[1]])
     assert {(100 + number, number) for number in range(20)} <= found
-    assert {(103, 903), (302, 5), (None, 6)} <= found
+    assert {(103, 903), (302, 5), (None, 6), (107, None), (107, 7)} <= found
     assert not any(doc_id is not None and (doc_id < 100 or 200 <= doc_id < 300) for doc_id, _ in found)
     clean = decontamination.without_leaks(docs(pairs), benchmark)
     assert clean.columns == docs(pairs).columns

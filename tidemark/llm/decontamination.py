@@ -16,12 +16,16 @@ last sentence) and the answer (the last sentence) must both be in the passage,
 each by its share of word n-grams.
 
 The index is bounded: items are dealt to blocks of about ``MOST_WORDS`` words,
-each an index of its own with its own statistics, and every document is held
-against every block.
+each an index of its own, and every document is held against every block.  What
+scores rest on (number of items, mean and greatest length, items holding a word)
+is counted in Spark over all items, so that scores do not depend on the blocks.
+Of several blocks the workers hold one at a time: what was found is stored, then
+the next block is sent.
 
 Null and empty texts and items without a word match nothing; an item that
-occurs twice under different ids is found under both; repeated rows are judged
-each; an empty table on either side gives an empty result.  Columns of the
+occurs twice under different ids is found under both, one without an id under a
+null; repeated rows are judged each; an empty table on either side gives an
+empty result.  Columns of the
 documents pass through, whatever their names.
 """
 
@@ -32,13 +36,15 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import lean
+from tidemark.llm.common import lean, passing_tables, stored
 
 #: BM25's usual parameters.
 K1, B = 1.2, 0.75
@@ -78,23 +84,41 @@ def ngrams(words: list[bytes], size: int = NGRAM) -> set[tuple[bytes, ...]]:
     return {tuple(words[at : at + size]) for at in range(len(words) - size + 1)} if words else set()
 
 
+class Benchmark(NamedTuple):
+    """What scores rest on: items with a word, their mean and greatest number of
+    words, and how many hold each word (of a block's words at least)."""
+
+    items: int
+    mean: float
+    longest: int
+    seen: dict[bytes, int]
+
+    @classmethod
+    def of(cls, items: list[tuple[int | None, str]]) -> Benchmark:
+        words = [each for _, text in items if (each := words_of(text))]
+        lengths = [len(each) for each in words]
+        seen = Counter(word for each in words for word in set(each))
+        return cls(len(words), sum(lengths) / max(1, len(words)), max(lengths, default=0), seen)
+
+
 class ItemIndex:
     """Normalised BM25 weights by term, in blocks with their highest weight."""
 
-    def __init__(self, items: list[tuple[int, str]], least_score: float):
-        counted = [(item_id, text, Counter(words_of(text))) for item_id, text in sorted(items)]
+    def __init__(self, items: list[tuple[int | None, str]], least_score: float, whole: Benchmark | None = None):
+        whole = whole or Benchmark.of(items)
+        items = sorted(items, key=lambda item: (item[0] is not None, item[0] or 0, item[1]))
+        counted = [(item_id, text, Counter(words_of(text))) for item_id, text in items]
         counted = [each for each in counted if each[2]]
         self.ids = [item_id for item_id, _, _ in counted]
         self.parts = [question_and_answer(text) for _, text, _ in counted]
         lengths = [sum(words.values()) for _, _, words in counted]
-        mean = sum(lengths) / max(1, len(lengths))
-        found = Counter(word for _, _, words in counted for word in words)
-        rarity = {word: math.log(1 + (len(counted) - seen + 0.5) / (seen + 0.5)) for word, seen in found.items()}
-        self.terms = {word: number for number, word in enumerate(sorted(found))}
+        found = sorted({word for _, _, words in counted for word in words})
+        rarity = {word: math.log(1 + (whole.items - whole.seen[word] + 0.5) / (whole.seen[word] + 0.5)) for word in found}
+        self.terms = {word: number for number, word in enumerate(found)}
         self.items_of: list[list[int]] = [[] for _ in self.terms]
         self.weights_of: list[list[float]] = [[] for _ in self.terms]
         for item, (_, _, words) in enumerate(counted):
-            slow = K1 * (1 - B + B * lengths[item] / mean)
+            slow = K1 * (1 - B + B * lengths[item] / whole.mean)
             weights = {word: rarity[word] * seen * (K1 + 1) / (seen + slow) for word, seen in words.items()}
             own = sum(weights.values())
             for word, weight in weights.items():
@@ -107,7 +131,7 @@ class ItemIndex:
             for item, weight in zip(items_of, weights_of):
                 blocks[item // POSTINGS] = max(weight, blocks.get(item // POSTINGS, 0.0))
             self.block_highest.append(blocks)
-        self.stride = max([SHORTEST_STRIDE, *lengths])
+        self.stride = max(SHORTEST_STRIDE, whole.longest)
         self.least = least_score - 1e-9  # sums differ in their last digits
 
     def search(self, terms: list[int]) -> list[tuple[int, float]]:
@@ -192,13 +216,40 @@ class ItemIndex:
         return [best[item] for item in sorted(best)]
 
 
-def _item_blocks(benchmark: DataFrame, key: str, text: str) -> Iterator[list[tuple[int, str]]]:
-    items = benchmark.select(key, text).where(F.col(text).isNotNull() & F.col(key).isNotNull())
-    total = items.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = max(1, -(-total // (6 * MOST_WORDS)))
-    for block in range(blocks):
-        mine = items.where(F.pmod(F.xxhash64(key, text), F.lit(blocks)) == block)
-        yield [tuple(row) for row in mine.collect()]  # bounded: about MOST_WORDS words
+def _counted(benchmark: DataFrame, key: str, text: str) -> DataFrame:
+    """(item_id, text, n_words, words): items that hold a word, with their distinct words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [words_of(each) for each in batch.column("text").to_pylist()]
+            added = [pa.array(map(len, words), pa.int64()), pa.array([sorted(set(each)) for each in words], pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], names=["item_id", "text", "n_words", "words"])
+
+    items = benchmark.select(F.col(key).cast("bigint").alias("item_id"), F.col(text).alias("text")).where("text IS NOT NULL")
+    schema = "item_id bigint, text string, n_words bigint, words array<binary>"
+    return items.mapInArrow(lean(run), schema).where("n_words > 0")
+
+
+def item_blocks(
+    benchmark: DataFrame, key: str, text: str
+) -> tuple[int, Iterator[tuple[list[tuple[int | None, str]], Benchmark]]]:
+    """(number of blocks, blocks): the items in blocks of about ``MOST_WORDS`` words, made one at a time as they
+    are asked for, each with the statistics of the whole benchmark."""
+    items = stored(_counted(benchmark, key, text))
+    total = items.agg(F.count(F.lit(1)).alias("items"), F.sum("n_words").alias("words"), F.max("n_words").alias("longest")).first()
+    blocks = max(1, -(-(total.words or 0) // MOST_WORDS))
+    placed = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int"))
+    seen = placed.select("block", F.explode("words").alias("word")).groupBy("word")
+    seen = stored(seen.agg(F.count(F.lit(1)).alias("seen"), F.collect_set("block").alias("blocks")))
+    mean = (total.words or 0) / max(1, total.items)
+
+    def made() -> Iterator[tuple[list[tuple[int | None, str]], Benchmark]]:
+        for block in range(blocks):  # bounded: about MOST_WORDS words each
+            mine = [tuple(row) for row in placed.where(F.col("block") == block).select("item_id", "text").collect()]
+            words = seen.where(F.array_contains("blocks", block)).select("word", "seen").collect()
+            yield mine, Benchmark(total.items, mean, total.longest or 0, {bytes(row.word): row.seen for row in words})
+
+    return blocks, made()
 
 
 def with_leaks(
@@ -213,13 +264,13 @@ def with_leaks(
 ) -> DataFrame:
     """``docs`` plus ``column``: the verified items of each text, one per item, with score and overlaps."""
     names = [name for name in docs.columns if name != column]
-    result = docs.select(*names).withColumn(column, F.lit(None).cast(LEAKS))
     fields = [field for field in docs.schema.fields if field.name != column]
     schema = T.StructType([*fields, T.StructField(column, T._parse_datatype_string(LEAKS))])
-    for items in _item_blocks(benchmark, item_key, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(items, least_score))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def searched(rows: DataFrame, items: list, whole: Benchmark) -> tuple[DataFrame, Broadcast]:
+        shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(items, least_score, whole))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
                 before = batch.column(column).to_pylist()
@@ -227,8 +278,17 @@ def with_leaks(
                 both = pa.array([(old or []) + new for old, new in zip(before, found)], _LEAK)
                 yield pa.RecordBatch.from_arrays([*(batch.column(name) for name in names), both], names=[*names, column])
 
-        result = result.mapInArrow(lean(run), schema)
-    return result
+        return rows.mapInArrow(lean(run), schema), shared
+
+    rows = docs.select(*names).withColumn(column, F.lit(None).cast(LEAKS))
+    with passing_tables(docs.sparkSession) as keep:
+        blocks, made = item_blocks(benchmark, item_key, item_text)
+        for number, (items, whole) in enumerate(made, start=1):
+            rows, shared = searched(rows, items, whole)
+            if blocks > 1:
+                rows = (keep if number == blocks else stored)(rows)
+                shared.destroy()
+    return rows
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
