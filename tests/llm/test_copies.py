@@ -278,3 +278,11 @@ def test_query_removes_repeated_lines_of_any_length(spark, docs, tmp_path):
         expected[doc_id] = (len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest())
     assert found == expected
     assert [expected[at][1] for at in range(1, 6)] == [0, 3, 2, 0, 0]
+
+
+def test_line_dedup_takes_any_column_names(spark):
+    names = "doc_id bigint, text string, removed int, _removed int, _Removed_ int, text_hash int, n_units int"
+    frame = spark.createDataFrame([(1, "a b\nc", 5, 6, 7, 8, 9), (2, "c\nd", 5, 6, 7, 8, 9), (3, None, 5, 6, 7, 8, 9)], names)
+    rows = without_repeated_lines(frame, least_words=1).orderBy("doc_id").collect()
+    assert [[unit.unit for unit in row.kept_units] for row in rows] == [["a b", "c"], ["d"], []]
+    assert [(row.removed, row["_removed"], row["_Removed_"], row.text_hash, row.n_units) for row in rows] == [(5, 6, 7, 8, n) for n in (2, 2, 0)]

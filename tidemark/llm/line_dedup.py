@@ -15,7 +15,8 @@ hot digests.  Offsets are characters of the original text.
 Null and empty texts have no units (a null text has no kept text either).
 Documents are ranked by id, nulls first, then by a hash of the text; rows equal
 in both are one document to the ranking, so that they keep the same units.  An
-empty table gives an empty result.
+empty table gives an empty result.  Other columns pass through, whatever their
+names, but for ``n_units`` and ``kept_units``, which are replaced.
 """
 
 from __future__ import annotations
@@ -76,13 +77,15 @@ def without_repeated_lines(
     clear = docs.drop("kept_units", "n_units")
     removed = removed_units(clear, key, text, separator, least_words)
     same = clear[key].eqNullSafe(removed["doc_id"]) & (F.xxhash64(clear[text]) == removed["text_hash"])
-    names = clear.columns
-    joined = clear.join(removed, same, "left").select(*[clear[name] for name in names], F.col("removed").alias("_removed"))
+    names, numbers_of = clear.columns, "_removed"
+    while numbers_of in map(str.lower, names):
+        numbers_of += "_"
+    joined = clear.join(removed, same, "left").select(*[clear[name] for name in names], removed["removed"].alias(numbers_of))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, numbers = [], []
-            for content, gone in zip(batch.column(text).to_pylist(), batch.column("_removed").to_pylist()):
+            for content, gone in zip(batch.column(text).to_pylist(), batch.column(numbers_of).to_pylist()):
                 parts = content.split(separator) if content else []
                 gone, rows, at = set(gone or ()), [], 0
                 for number, part in enumerate(parts):
