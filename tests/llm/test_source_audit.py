@@ -75,6 +75,15 @@ def test_equals_brute_force(frame):
     assert found(source_audit.divergence(frame, least_documents=5, top_terms=7)) == audit(corpus(), 5, 7)
 
 
+def test_terms_alike_in_their_first_53_bits(spark):
+    stems = ["children", "éáóú", "日本"]  # packed, 8 or 6 bytes; with more behind them two words
+    alike = [stem[:-1] + last + tail for stem in stems for last in stem[-1] + "sxyz" for tail in ("", "a", "b", "abcdefgh", "abcdefgi")]
+    rng = random.Random(5)
+    rows = [("en", f"s{at % 3}", " ".join(rng.choices(alike, weights=range(1, len(alike) + 1), k=40))) for at in range(60)]
+    found_rows = found(source_audit.divergence(spark.createDataFrame(rows, "lang string, source string, text string"), least_documents=5, top_terms=7))
+    assert found_rows == audit(rows, 5, 7)
+
+
 def test_small_tiles_and_blocks(frame):
     kept = stored(source_audit.kept_terms(source_audit.term_counts(frame), 5))
     groups = stored(source_audit.group_sizes(frame, kept))

@@ -225,21 +225,20 @@ def _share(count: str, size: str) -> Column:
 def _differences(tile_size: int, table: pa.Table) -> pa.Table:
     """For one block of terms and two tiles of sources: what the terms add to the
     difference of each two sources, beyond that of terms which neither has."""
-    place, share = table.column("place").to_numpy(), table.column("share").to_numpy()
-    is_base = table.column("is_base").to_numpy(zero_copy_only=False)
     lang, one, other = (table.column(name)[0].as_py() for name in ("lang", "one", "other"))
-    known = np.flatnonzero(is_base)
-    known = known[np.argsort(place[known])]
-    places, base = place[known], share[known]
-    term = np.flatnonzero(~is_base)
-    tail = table.column("tail").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)[term]
-    keys = [tail, table.column("lo").to_numpy()[term], table.column("hi").to_numpy()[term]]
+    is_base = table.column("is_base")
+    # Apart, since base rows have no term: numpy gets whole numbers beside nulls as floats, in which words of eight bytes run together.
+    known, terms = table.filter(is_base).sort_by("place"), table.filter(pc.invert(is_base))
+    places, base = (known.column(name).to_numpy() for name in ("place", "share"))
+    place, share, hi, lo = (terms.column(name).to_numpy() for name in ("place", "share", "hi", "lo"))
+    tail = terms.column("tail").combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+    keys = [tail, lo, hi]
     order = np.lexsort(keys)
     fresh = np.zeros(len(order), np.int64)
     for key in keys:
         fresh[1:] |= key[order][1:] != key[order][:-1]
     shares = np.repeat(base[:, None], (fresh.sum() + 1) if len(order) else 0, axis=1)
-    shares[np.searchsorted(places, place[term][order]), np.cumsum(fresh)] = share[term][order]
+    shares[np.searchsorted(places, place[order]), np.cumsum(fresh)] = share[order]
     tile = places // tile_size
     rows = np.flatnonzero(tile == other)
     lows, highs, sums = [], [], []
