@@ -9,6 +9,7 @@ from collections import Counter
 from itertools import permutations
 from pathlib import Path
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -16,7 +17,7 @@ import pytest
 from tidemark.llm import ngram_join, repeated_spans
 from tidemark.llm.blocks import SubstringHashes
 from tidemark.llm.components import components
-from tidemark.llm.line_dedup import kept_text, without_repeated_lines
+from tidemark.llm.line_dedup import kept_text, sql, without_repeated_lines
 from tidemark.llm.queries import QUERIES
 
 WORDS = "ant bee cat dog elk fox gnu hen ibis jay kite lark mole newt owl pig quail ram seal toad".split()
@@ -286,3 +287,17 @@ def test_line_dedup_takes_any_column_names(spark):
     rows = without_repeated_lines(frame, least_words=1).orderBy("doc_id").collect()
     assert [[unit.unit for unit in row.kept_units] for row in rows] == [["a b", "c"], ["d"], []]
     assert [(row.removed, row["_removed"], row["_Removed_"], row.text_hash, row.n_units) for row in rows] == [(5, 6, 7, 8, n) for n in (2, 2, 0)]
+
+
+def test_odd_lines_are_equal_as_in_sql(spark, docs, tmp_path):
+    spaces = "\u00a0\u1680\u2000\u2003\u200a\u202f\u205f\u3000"
+    first = ["ΟΔΟΣ ΝΕΑ ΟΔΟΣ", "İstanbul", "les.", "no-break", "Straße\u2028", "a\u00a0b", *(f"end{ord(each)}" for each in spaces)]
+    later = ["οδοσ νεα οδοσ", "istanbul", " \u00a0les.\r", "\u3000\u00a0 no-break \u00a0", "STRAßE", "A B", *(f"End{ord(each)}{each}" for each in spaces)]
+    blank = ["\u00a0", " \u3000\t", *spaces, ""]
+    pairs = [(1, "\n".join(first + blank)), (2, "\n".join(later + blank)), (3, "οδος νεα οδος\ni\u0307stanbul\n\u2028\n\u0085"), (4, "Straße\n\u2028\n\u0085")]
+    docs(pairs).write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(map(tuple, QUERIES["op9_line_dedup"](spark, str(tmp_path)).collect()))
+    with duckdb.connect() as database:
+        database.execute(f"CREATE VIEW documents AS SELECT doc_id, text FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert found == sorted(database.execute(sql()).fetchall())
+    assert {row[0]: row[2] for row in found} == {1: 0, 2: 12, 3: 0, 4: 3}
